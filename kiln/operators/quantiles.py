@@ -30,15 +30,15 @@ MAX_ROUNDS = 8
 _INF = float("inf")
 
 
-def _with_targets(data: DataFrame, w: DataFrame, group_cols: list[str]) -> DataFrame:
-    """Attach each group's target arrays to its rows (lookup join, one row per group)."""
-    small = w.count() <= BROADCAST_ROWS
+def _with_targets(data: DataFrame, w: DataFrame, group_cols: list[str], small: bool) -> DataFrame:
+    """Attach each group's target arrays to its rows (lookup join, one row per group;
+    broadcast when the number of groups is small)."""
     return data.join(F.broadcast(w) if small else w, group_cols, "inner")
 
 
-def _measure(data: DataFrame, w: DataFrame, group_cols: list[str], m: int) -> DataFrame:
-    """Exact below/in counts and approximate distinct count of every band."""
-    j = _with_targets(data, w.select(*group_cols, "_r", "_a", "_b"), group_cols)
+def _measure(data: DataFrame, w: DataFrame, group_cols: list[str], m: int, small: bool) -> DataFrame:
+    """Exact below/in counts and approximate distinct count of every band (cached)."""
+    j = _with_targets(data, w.select(*group_cols, "_r", "_a", "_b"), group_cols, small)
     x = F.col("_x")
     aggs = []
     for i in range(m):
@@ -49,12 +49,15 @@ def _measure(data: DataFrame, w: DataFrame, group_cols: list[str], m: int) -> Da
     stats = j.groupBy(*group_cols).agg(*aggs)
     stats = stats.select(*group_cols, *[F.array(*[F.col(f"_{k}{i}") for i in range(m)]).alias(f"_{k}")
                                         for k in ("below", "in", "nd")])
-    return w.drop("_below", "_in", "_nd").join(stats, group_cols, "inner")
+    out = w.drop("_below", "_in", "_nd").join(stats, group_cols, "inner").cache()
+    out.count()
+    return out
 
 
-def _band_rows(data: DataFrame, w: DataFrame, group_cols: list[str], m: int, only_wide: int | None = None):
+def _band_rows(data: DataFrame, w: DataFrame, group_cols: list[str], m: int, small: bool,
+               only_wide: int | None = None):
     """(group..., _i, _x) for every row inside band i (rows outside all bands vanish)."""
-    j = _with_targets(data, w.select(*group_cols, "_r", "_a", "_b", "_nd"), group_cols)
+    j = _with_targets(data, w.select(*group_cols, "_r", "_a", "_b", "_nd"), group_cols, small)
     x = F.col("_x")
 
     def inside(i):
@@ -96,20 +99,21 @@ def quantiles(df: DataFrame, x: str, probs: Sequence[float], group_cols: Sequenc
         lo_b += [F.col("_alo")[k]] * 2
         hi_b += [F.col("_ahi")[k]] * 2
     w = sk.select(*group_cols, "_n", F.array(*[r.cast("long") for r in ranks]).alias("_r"),
-                  F.array(*lo_b).alias("_a"), F.array(*hi_b).alias("_b"))
-    w = _measure(data, w, group_cols, m)
+                  F.array(*lo_b).alias("_a"), F.array(*hi_b).alias("_b")).cache()
+    small = w.count() <= BROADCAST_ROWS
+    w = _measure(data, w, group_cols, m, small)
     idx = range(m)
     below, inn, r = F.col("_below"), F.col("_in"), F.col("_r")
     w = w.select(*group_cols, "_n", "_r",
                  F.array(*[F.when(r[i] < below[i], F.lit(-_INF)).otherwise(F.col("_a")[i]) for i in idx]).alias("_a"),
                  F.array(*[F.when(r[i] >= below[i] + inn[i], F.lit(_INF)).otherwise(F.col("_b")[i])
                            for i in idx]).alias("_b"))
-    w = _measure(data, w, group_cols, m).cache()
+    w = _measure(data, w, group_cols, m, small)
 
     for _ in range(MAX_ROUNDS):
         if w.filter(F.exists("_nd", lambda v: v > band_distinct)).limit(1).count() == 0:
             break
-        band = _band_rows(data, w, group_cols, m, only_wide=band_distinct)
+        band = _band_rows(data, w, group_cols, m, small, only_wide=band_distinct)
         tl = _long(w, group_cols, m, ["_r", "_a", "_b", "_below"])
         band = band.join(tl, [*group_cols, "_i"])
         lo = F.greatest(F.col("_a"), F.lit(-1.7e308))
@@ -126,9 +130,9 @@ def quantiles(df: DataFrame, x: str, probs: Sequence[float], group_cols: Sequenc
         nw = nw.select(*group_cols, "_n", "_r",
                        F.array(*[F.coalesce(F.col("_upd")[i]["a"], F.col("_a")[i]) for i in idx]).alias("_a"),
                        F.array(*[F.coalesce(F.col("_upd")[i]["b"], F.col("_b")[i]) for i in idx]).alias("_b"))
-        w = _measure(data, nw, group_cols, m).cache()
+        w = _measure(data, nw, group_cols, m, small)
 
-    band = _band_rows(data, w, group_cols, m)
+    band = _band_rows(data, w, group_cols, m, small)
     vc = band.groupBy(*group_cols, "_i", "_x").agg(F.count(F.lit(1)).alias("_c"))
     wv = Window.partitionBy(*group_cols, "_i").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
     vc = vc.withColumn("_cum", F.sum("_c").over(wv))
