@@ -3,11 +3,9 @@
 Dense linear models and networks: each Arrow batch computes its numpy gradient
 on the executors (weights arrive as a broadcast variable), the partial gradients
 are summed by a group-by over the coordinate, and Adam updates the small vector
-on the driver. Sparse text models: the weight vector is a
-(term, w) table; each step joins it to the (doc, term, x) table, so neither the
-data nor the weights pass through the driver. Networks: each Arrow batch
-computes its numpy gradient on the executors, gradients are summed by a
-group-by over parameter index, Adam runs on the driver on the small vector.
+on the driver. Sparse text models: the weight vector is a (term, w) table; each
+step joins it to the (doc, term, x) table, so neither the data nor the weights
+pass through the driver.
 """
 
 from __future__ import annotations
@@ -116,8 +114,8 @@ def sparse_gd(long: DataFrame, labels: DataFrame, doc: str, term: str, weight: s
     b, mb, vb = 0.0, 0.0, 0.0
     for t in range(1, steps + 1):
         margins = x.join(w.select(term, "w"), term).groupBy(doc).agg(F.sum(F.col("_x") * F.col("w")).alias("_m"))
-        per_doc = lab.join(margins, doc, "left").select(
-            doc, dloss(F.col("_y"), F.coalesce(F.col("_m"), F.lit(0.0)) + F.lit(b)).alias("_g")).cache()
+        per_doc = materialize(lab.join(margins, doc, "left").select(
+            doc, dloss(F.col("_y"), F.coalesce(F.col("_m"), F.lit(0.0)) + F.lit(b)).alias("_g")))
         gb = per_doc.agg(F.sum("_g")).first()[0] / n
         gterm = x.join(per_doc, doc).groupBy(term).agg((F.sum(F.col("_g") * F.col("_x")) / n).alias("_gt"))
         g = F.coalesce(F.col("_gt"), F.lit(0.0)) + l2 * F.col("w")
@@ -126,11 +124,12 @@ def sparse_gd(long: DataFrame, labels: DataFrame, doc: str, term: str, weight: s
         step = lr * (m_new / (1 - 0.9 ** t)) / (F.sqrt(v_new / (1 - 0.999 ** t)) + 1e-8)
         w = w.join(gterm, term, "left").select(term, (F.col("w") - step).alias("w"), m_new.alias("m"),
                                                v_new.alias("v"))
-        w = materialize(w) if t % CHECKPOINT_EVERY == 0 else w.cache()
+        # The new weights reference the old ones twice (margins and update): checkpoint
+        # every step so the plan does not double per iteration.
+        w = materialize(w)
         mb = 0.9 * mb + 0.1 * gb
         vb = 0.999 * vb + 0.001 * gb * gb
         b -= lr * (mb / (1 - 0.9 ** t)) / (math.sqrt(vb / (1 - 0.999 ** t)) + 1e-8)
-        per_doc.unpersist()
     return w.select(term, "w"), b
 
 
