@@ -1,18 +1,26 @@
 """k-nearest-neighbour classifier and regressor (M5, M21), exact.
 
-The training rows are cut into chunks of at most ``chunk_rows`` (one array row
-per chunk). Every query row meets every chunk through an equi-join on
-(query block, chunk), computes the distances to the chunk's points inside one
-array expression and keeps its k best; the per-chunk candidates (k per chunk)
-are merged per query. When the whole training table is under a checked size
-the chunk table is broadcast and the query side is never shuffled.
-Distances are squared Euclidean; ties go to the smaller training id.
+Small training side (rows x dims under a checked bound): it is collected once
+and broadcast; every query partition computes its exact top k with numpy in
+Arrow batches (no shuffle of the query side).
+
+Large training side: the training rows are cut into chunks of at most
+``chunk_rows`` (one array row per chunk). Every query row meets every chunk
+through an equi-join on (query block, chunk), computes the distances to the
+chunk's points inside one array expression and keeps its k best; the per-chunk
+candidates (k per chunk) are merged per query.
+
+Distances are squared Euclidean summed dimension by dimension; ties go to the
+smaller training id.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,19 +40,17 @@ def neighbours(train: DataFrame, query: DataFrame, vec: str, label: str, k: int,
     tr = train.select(F.col(train_id).alias("_tid"), F.col(label).alias("_lab"),
                       F.col(vec).cast("array<double>").alias("_v"))
     n, dims = tr.agg(F.count(F.lit(1)), F.max(F.size("_v"))).first()
+    if n * (dims or 1) <= BROADCAST_POINTS:
+        return _broadcast_neighbours(tr, query, vec, k, query_id, exclude_self, train.schema[label].dataType)
     chunks_n = max(1, math.ceil(n / chunk_rows))
     tr = tr.withColumn("_chunk", F.pmod(F.xxhash64("_tid"), F.lit(chunks_n)))
     chunks = tr.groupBy("_chunk").agg(F.collect_list(F.struct("_tid", "_lab", "_v")).alias("_pts"))
     q = query.select(F.col(query_id).alias("_qid"), F.col(vec).cast("array<double>").alias("_q"))
     q = q.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks_n - 1)).cast("array<long>")))
-    if n * (dims or 1) <= BROADCAST_POINTS:
-        j = q.join(F.broadcast(chunks), "_chunk")
-    else:
-        blocks = F.pmod(F.xxhash64("_qid"), F.lit(QUERY_BLOCKS))
-        q = q.withColumn("_qb", blocks)
-        chunks = chunks.withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(QUERY_BLOCKS - 1)).cast(
-            "array<long>")))
-        j = q.join(chunks, ["_chunk", "_qb"])
+    blocks = F.pmod(F.xxhash64("_qid"), F.lit(QUERY_BLOCKS))
+    q = q.withColumn("_qb", blocks)
+    chunks = chunks.withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(QUERY_BLOCKS - 1)).cast("array<long>")))
+    j = q.join(chunks, ["_chunk", "_qb"])
     cand = F.transform("_pts", lambda p: F.struct(sq_dist(p["_v"], F.col("_q")).alias("dist"),
                                                   p["_tid"].alias("tid"), p["_lab"].alias("label")))
     if exclude_self:
@@ -54,6 +60,39 @@ def neighbours(train: DataFrame, query: DataFrame, vec: str, label: str, k: int,
     return merged.select(F.col("_qid").alias(query_id), F.slice(F.array_sort("_all"), 1, k).alias("nn"))
 
 
+def _broadcast_neighbours(tr: DataFrame, query: DataFrame, vec: str, k: int, query_id: str, exclude_self: bool,
+                          label_type) -> DataFrame:
+    pdf = tr.toPandas()  # bounded by BROADCAST_POINTS (checked by the caller)
+    order = np.argsort(pdf["_tid"].to_numpy(), kind="stable")
+    tids = pdf["_tid"].to_numpy()[order]
+    labs = pdf["_lab"].to_numpy()[order]
+    pts = np.stack(pdf["_v"].to_numpy())[order] if len(pdf) else np.zeros((0, 0))
+    bc = tr.sparkSession.sparkContext.broadcast((tids, labs, pts))
+    lab_sql = label_type.simpleString()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        t_ids, t_labs, t_pts = bc.value
+        for pdf in batches:
+            out_nn = []
+            for start in range(0, len(pdf), 256):
+                part = pdf.iloc[start:start + 256]
+                qv = np.stack(part["_q"].to_numpy())
+                dist = np.zeros((len(part), len(t_ids)))
+                for j in range(qv.shape[1]):  # dimension by dimension, as a left-to-right sum
+                    diff = qv[:, j, None] - t_pts[None, :, j]
+                    dist += diff * diff
+                for row, qid in enumerate(part["_qid"].to_numpy()):
+                    keep = t_ids != qid if exclude_self else np.ones(len(t_ids), bool)
+                    d, ids, ls = dist[row][keep], t_ids[keep], t_labs[keep]
+                    top = np.lexsort((ids, d))[:k]
+                    out_nn.append([{"dist": float(d[i]), "tid": int(ids[i]), "label": ls[i].item()} for i in top])
+            yield pd.DataFrame({query_id: pdf["_qid"], "nn": out_nn})
+
+    q = query.select(F.col(query_id).alias("_qid"), F.col(vec).cast("array<double>").alias("_q"))
+    schema = f"{query_id} long, nn array<struct<dist: double, tid: long, label: {lab_sql}>>"
+    return q.mapInPandas(run, schema)
+
+
 def knn_classify(train: DataFrame, query: DataFrame, vec: str, label: str, k: int = 4, train_id: str = "id",
                  query_id: str = "id", exclude_self: bool = False) -> DataFrame:
     """M5: majority label of the k nearest (ties -> smallest label)."""

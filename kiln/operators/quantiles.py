@@ -104,11 +104,15 @@ def quantiles(df: DataFrame, x: str, probs: Sequence[float], group_cols: Sequenc
     w = _measure(data, w, group_cols, m, small)
     idx = range(m)
     below, inn, r = F.col("_below"), F.col("_in"), F.col("_r")
-    w = w.select(*group_cols, "_n", "_r",
-                 F.array(*[F.when(r[i] < below[i], F.lit(-_INF)).otherwise(F.col("_a")[i]) for i in idx]).alias("_a"),
-                 F.array(*[F.when(r[i] >= below[i] + inn[i], F.lit(_INF)).otherwise(F.col("_b")[i])
-                           for i in idx]).alias("_b"))
-    w = _measure(data, w, group_cols, m, small)
+    missed = F.exists(F.sequence(F.lit(0), F.lit(m - 1)), lambda i: (r[i] < below[i]) | (r[i] >= below[i] + inn[i]))
+    if w.filter(missed).limit(1).count():
+        # The sketch missed some rank (rare): open that side of the bracket and count again.
+        w = w.select(*group_cols, "_n", "_r",
+                     F.array(*[F.when(r[i] < below[i], F.lit(-_INF)).otherwise(F.col("_a")[i]) for i in idx])
+                     .alias("_a"),
+                     F.array(*[F.when(r[i] >= below[i] + inn[i], F.lit(_INF)).otherwise(F.col("_b")[i])
+                               for i in idx]).alias("_b"))
+        w = _measure(data, w, group_cols, m, small)
 
     for _ in range(MAX_ROUNDS):
         if w.filter(F.exists("_nd", lambda v: v > band_distinct)).limit(1).count() == 0:
