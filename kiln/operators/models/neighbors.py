@@ -81,11 +81,19 @@ def _broadcast_neighbours(tr: DataFrame, query: DataFrame, vec: str, k: int, que
                 for j in range(qv.shape[1]):  # dimension by dimension, as a left-to-right sum
                     diff = qv[:, j, None] - t_pts[None, :, j]
                     dist += diff * diff
-                for row, qid in enumerate(part["_qid"].to_numpy()):
-                    keep = t_ids != qid if exclude_self else np.ones(len(t_ids), bool)
-                    d, ids, ls = dist[row][keep], t_ids[keep], t_labs[keep]
-                    top = np.lexsort((ids, d))[:k]
-                    out_nn.append([{"dist": float(d[i]), "tid": int(ids[i]), "label": ls[i].item()} for i in top])
+                qids = part["_qid"].to_numpy()
+                if exclude_self:
+                    pos = np.searchsorted(t_ids, qids)
+                    hit = (pos < len(t_ids)) & (t_ids[np.minimum(pos, len(t_ids) - 1)] == qids)
+                    dist[np.nonzero(hit)[0], pos[hit]] = np.inf
+                kk = min(k, len(t_ids))
+                kth = np.partition(dist, kk - 1, axis=1)[:, kk - 1] if kk else np.zeros(len(part))
+                for row in range(len(part)):
+                    cand = np.nonzero(dist[row] <= kth[row])[0]  # k nearest plus any ties at the k-th distance
+                    top = cand[np.lexsort((t_ids[cand], dist[row, cand]))][:kk]
+                    top = top[np.isfinite(dist[row, top])]
+                    out_nn.append([{"dist": float(dist[row, i]), "tid": int(t_ids[i]), "label": t_labs[i].item()}
+                                   for i in top])
             yield pd.DataFrame({query_id: pdf["_qid"], "nn": out_nn})
 
     q = query.select(F.col(query_id).alias("_qid"), F.col(vec).cast("array<double>").alias("_q"))
