@@ -292,7 +292,7 @@ def q_reg_mlp(spark, sf):
 
 # ------------------------------------------------------------------ tuning, ranking, output
 
-@register("stratified_cv", "M26 O6")
+@register("cross_validate", "M26 O6")
 def q_cross_validate(spark, sf):
     d = doc_table(spark, sf).filter(F.col("quality").isNotNull())
     folds = stratified_folds(d, "quality", "doc_id", k=10).cache()
