@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,8 +85,11 @@ def quantiles(df: DataFrame, x: str, probs: Sequence[float], group_cols: Sequenc
     probs = [float(p) for p in probs]
     m = 2 * len(probs)
     keys = [F.col(c) for c in user_groups] or [F.lit(0).alias("_g")]
+    # Every pass reads only (group, value); keep that projection (memory, spilling to disk)
+    # so an expensive input (a join, a parse) is computed once, not once per pass.
     data = (df.select(*keys, F.col(x).cast("double").alias("_x"))
-              .filter(F.col("_x").isNotNull() & ~F.isnan("_x")))
+              .filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
+              .persist(StorageLevel.MEMORY_AND_DISK))
 
     eps = 2.0 / accuracy
     sk = data.groupBy(*group_cols).agg(
@@ -152,7 +156,12 @@ def quantiles(df: DataFrame, x: str, probs: Sequence[float], group_cols: Sequenc
         frac = h - F.floor(h)
         vlo, vhi = F.col("_v")[2 * k], F.col("_v")[2 * k + 1]
         out.append(F.struct(F.lit(p).alias("p"), (vlo + frac * (vhi - vlo)).alias("value")))
-    return vals.select(*user_groups, F.explode(F.array(*out)).alias("_q")).select(*user_groups, "_q.p", "_q.value")
+    res = vals.select(*user_groups, F.explode(F.array(*out)).alias("_q")).select(*user_groups, "_q.p", "_q.value")
+    res = res.cache()  # groups x probs rows
+    res.count()
+    data.unpersist()
+    w.unpersist()
+    return res
 
 
 def quantile_values(df: DataFrame, x: str, probs: Sequence[float]) -> list[float | None]:
