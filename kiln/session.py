@@ -71,3 +71,23 @@ def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: writes to the shared checkpoint folder, survives executor loss."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+# Inputs up to this estimated size are spread over all cores before CPU-heavy
+# per-row work; larger inputs already come in many file splits / row groups.
+SPREAD_BYTES = 2 << 30
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of the optimised plan."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Repartition a small input over all cores (by ``key`` hash when given) before
+    CPU-heavy per-row work such as regex tokenising or n-gram generation. A few
+    megabytes of text in one parquet row group would otherwise run in one task."""
+    if estimated_bytes(df) > SPREAD_BYTES:
+        return df
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n, key) if key else df.repartition(n)
