@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.operators.models.linear_algebra import argmax_label, class_moments, dot_lit, gram
+from kiln.session import spread
 
 
 @dataclass
@@ -24,7 +25,7 @@ class FittedLDA:
         return [dot_lit(x, self.coef[k]) + F.lit(float(self.intercept[k])) for k in range(len(self.classes))]
 
     def transform(self, df: DataFrame, vec: str, out: str = "prediction") -> DataFrame:
-        return df.withColumn(out, argmax_label(self.scores(vec), self.classes))
+        return spread(df).withColumn(out, argmax_label(self.scores(vec), self.classes))
 
 
 def lda(df: DataFrame, vec: str, label: str) -> FittedLDA:

@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kiln.session import spread
+
 CHUNK_ROWS = 4096
 BROADCAST_POINTS = 500_000     # training rows x dims above which the chunk table is shuffled
 QUERY_BLOCKS = 64
@@ -96,7 +98,7 @@ def _broadcast_neighbours(tr: DataFrame, query: DataFrame, vec: str, k: int, que
                                    for i in top])
             yield pd.DataFrame({query_id: pdf["_qid"], "nn": out_nn})
 
-    q = query.select(F.col(query_id).alias("_qid"), F.col(vec).cast("array<double>").alias("_q"))
+    q = spread(query.select(F.col(query_id).alias("_qid"), F.col(vec).cast("array<double>").alias("_q")), "_qid")
     schema = f"{query_id} long, nn array<struct<dist: double, tid: long, label: {lab_sql}>>"
     return q.mapInPandas(run, schema)
 

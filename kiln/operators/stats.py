@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from kiln.operators.missing import mode_of
 from kiln.operators.positions import BROADCAST_ROWS
 from kiln.operators.quantiles import quantiles
+from kiln.session import spread
 
 # Aggregate expressions per job when a statistic needs one per column pair.
 AGG_CHUNK = 200
@@ -187,7 +188,7 @@ def kde_curve(df: DataFrame, c: str, grid: int = 200, cut: float = 3.0) -> DataF
     h = sd * n ** (-0.2)
     lo, hi = s["lo"] - cut * h, s["hi"] + cut * h
     step = (hi - lo) / (grid - 1)
-    data = df.select(x.alias("_x")).filter(F.col("_x").isNotNull())
+    data = spread(df.select(x.alias("_x")).filter(F.col("_x").isNotNull()))
     pts = data.select("_x", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("i"))
     g = F.lit(lo) + F.col("i") * F.lit(step)
     k = F.exp(-0.5 * F.pow((g - F.col("_x")) / F.lit(h), 2))
