@@ -14,10 +14,12 @@ from kiln.operators.columns import columns_of_type
 from kiln.operators.positions import BROADCAST_ROWS, positions
 from kiln.session import materialize
 
-# Categories per one-hot column are collected to build the plan's column list;
-# a column with more distinct values than this is an error (use ``label_encode``
-# + MLlib ``OneHotEncoder`` for a sparse vector instead).
+# Categories per one-hot column are collected (after a size check) to build the
+# plan's column list; a column with more distinct values than this is an error.
 MAX_CATEGORIES = 1000
+# Above this many generated columns ``apply`` returns one vector column instead
+# (hundreds of CASE columns hit the generated-code method size limits).
+WIDE_COLUMNS = 500
 
 
 def _distinct_values(dfs: Sequence[DataFrame], cols: Sequence[str]) -> dict[str, list]:
@@ -53,7 +55,11 @@ class FittedOneHot:
             names += [f"{p}_{v}" for v in (cats[1:] if self.drop_first else cats)]
         return names
 
-    def apply(self, df: DataFrame) -> DataFrame:
+    def apply(self, df: DataFrame, as_vector: bool | None = None, out: str = "one_hot") -> DataFrame:
+        """0/1 columns, or (``as_vector``; automatic above WIDE_COLUMNS generated columns)
+        one sparse vector column ``out`` in the same column order."""
+        if as_vector or (as_vector is None and len(self.column_names()) > WIDE_COLUMNS):
+            return self.apply_vector(df, out)
         keep = [F.col(c) for c in df.columns if c not in self.categories]
         dummies = []
         for c, cats in self.categories.items():
@@ -63,6 +69,25 @@ class FittedOneHot:
                 dummies.append(F.when(x == F.lit(v), 1).otherwise(0).alias(f"{p}_{v}"))
         return df.select(*keep, *dummies)
 
+    def apply_vector(self, df: DataFrame, out: str = "one_hot") -> DataFrame:
+        """One sparse vector per row, entries in ``column_names()`` order; NULL and unseen
+        values (and the dropped first category) give no entry. Built from JVM stages:
+        an indexer holding the fitted labels, the one-hot encoder, the assembler."""
+        from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
+
+        x = df.withColumns({f"_s{i}": F.col(c).cast("string") for i, c in enumerate(self.categories)})
+        vec_cols = []
+        for i, (c, cats) in enumerate(self.categories.items()):
+            used = cats[1:] if self.drop_first else cats
+            idx = StringIndexerModel.from_labels(used, inputCol=f"_s{i}", outputCol=f"_i{i}", handleInvalid="keep")
+            x = idx.transform(x)
+            enc = OneHotEncoder(inputCols=[f"_i{i}"], outputCols=[f"_v{i}"], dropLast=True)  # drops the NULL slot
+            x = enc.fit(x).transform(x)  # sizes come from the indexer's column metadata
+            vec_cols.append(f"_v{i}")
+        x = VectorAssembler(inputCols=vec_cols, outputCol=out).transform(x)
+        keep = [c for c in df.columns if c not in self.categories]
+        return x.select(*keep, out)
+
 
 def _sort_values(values: list, numeric: bool) -> list:
     return sorted(values, key=float) if numeric else sorted(values)

@@ -144,3 +144,13 @@ def test_boxplot_whiskers(spark):
     q1, q3 = np.quantile(vals, [0.25, 0.75])
     assert (b.q1, b.q3) == (pytest.approx(q1), pytest.approx(q3))
     assert b.whisker_hi == 5.0 and b.n_outliers == 1
+
+
+def test_one_hot_vector_form_matches_columns(spark):
+    df = spark.createDataFrame([(1, "a", "x"), (2, None, "y"), (3, "b", "x")], "id int, c string, d string")
+    fit = E.fit_one_hot(df, ["c", "d"])
+    cols = fit.apply(df, as_vector=False).orderBy("id").collect()
+    vec = fit.apply(df, as_vector=True).orderBy("id").collect()
+    names = fit.column_names()
+    for rc, rv in zip(cols, vec):
+        assert [float(rc[n]) for n in names] == rv["one_hot"].toArray().tolist()
