@@ -109,7 +109,10 @@ def quantiles(df: DataFrame, x: str, probs: Sequence[float], group_cols: Sequenc
     idx = range(m)
     below, inn, r = F.col("_below"), F.col("_in"), F.col("_r")
     missed = F.exists(F.sequence(F.lit(0), F.lit(m - 1)), lambda i: (r[i] < below[i]) | (r[i] >= below[i] + inn[i]))
-    if w.filter(missed).limit(1).count():
+    wide_any = F.max(F.exists("_nd", lambda v: v > band_distinct).cast("int"))
+    flags = w.agg(F.max(missed.cast("int")).alias("missed"), wide_any.alias("wide")).first()
+    wide = bool(flags["wide"])
+    if flags["missed"]:
         # The sketch missed some rank (rare): open that side of the bracket and count again.
         w = w.select(*group_cols, "_n", "_r",
                      F.array(*[F.when(r[i] < below[i], F.lit(-_INF)).otherwise(F.col("_a")[i]) for i in idx])
@@ -117,9 +120,10 @@ def quantiles(df: DataFrame, x: str, probs: Sequence[float], group_cols: Sequenc
                      F.array(*[F.when(r[i] >= below[i] + inn[i], F.lit(_INF)).otherwise(F.col("_b")[i])
                                for i in idx]).alias("_b"))
         w = _measure(data, w, group_cols, m, small)
+        wide = bool(w.agg(wide_any).first()[0])
 
     for _ in range(MAX_ROUNDS):
-        if w.filter(F.exists("_nd", lambda v: v > band_distinct)).limit(1).count() == 0:
+        if not wide:
             break
         band = _band_rows(data, w, group_cols, m, small, only_wide=band_distinct)
         tl = _long(w, group_cols, m, ["_r", "_a", "_b", "_below"])
@@ -139,6 +143,7 @@ def quantiles(df: DataFrame, x: str, probs: Sequence[float], group_cols: Sequenc
                        F.array(*[F.coalesce(F.col("_upd")[i]["a"], F.col("_a")[i]) for i in idx]).alias("_a"),
                        F.array(*[F.coalesce(F.col("_upd")[i]["b"], F.col("_b")[i]) for i in idx]).alias("_b"))
         w = _measure(data, nw, group_cols, m, small)
+        wide = bool(w.agg(wide_any).first()[0])
 
     band = _band_rows(data, w, group_cols, m, small)
     vc = band.groupBy(*group_cols, "_i", "_x").agg(F.count(F.lit(1)).alias("_c"))
