@@ -16,6 +16,7 @@ from kiln.operators.models import bayes, boosting, discriminant, gradient, mllib
 from kiln.operators.ordering import stratified_folds, train_test_split
 from kiln.operators.transform import fit_standard_scaler
 from kiln.plans.catalog import register
+from kiln.session import spread
 from kiln.sources import Tables, submission
 from kiln.sources.files import scratch_path
 
@@ -31,7 +32,7 @@ def _share(pattern: str):
 def doc_table(spark, sf):
     """All documents with text statistics and the quality label (NULL when unlabelled)."""
     t = Tables(spark, sf)
-    d = t.documents.select(
+    d = spread(t.documents.select("doc_id", "n_chars", "text"), "doc_id").select(
         "doc_id", F.col("n_chars").cast("double").alias("n_chars"),
         F.size(F.split("text", "\n")).cast("double").alias("n_lines"),
         F.size(F.split("text", r"\s+")).cast("double").alias("n_words"),
