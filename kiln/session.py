@@ -8,6 +8,7 @@ when the session has none (local runs and tests).
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +30,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-         .config("spark.driver.memory", "16g"))
+         .config("spark.driver.memory", os.environ.get("KILN_DRIVER_MEMORY", "4g")))
     for k, v in {**DEFAULTS, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
