@@ -2,7 +2,7 @@
 
 Runs every registered query on Spark and its oracle SQL on DuckDB over the same
 parquet folder, then compares row count, column names and order-insensitive
-values (floats rounded to 6 significant digits of agreement).
+values (floats compared to 9 significant digits) and column types.
 
 usage: python tools/check_oracle.py [sf_dir] [name ...]
 """
@@ -37,6 +37,12 @@ def norm(v):
     return v
 
 
+# DuckDB result type -> Spark simpleString, for the schema part of the compare.
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean",
+                 "FLOAT": "float", "SMALLINT": "smallint", "TINYINT": "tinyint", "DATE": "date",
+                 "TIMESTAMP": "timestamp_ntz"}
+
+
 def rows_of(cols, records):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     out = [tuple(norm(r[i]) for i in order) for r in records]
@@ -59,6 +65,7 @@ def main():
         try:
             sdf = q.fn(spark, sf)
             scols = sdf.columns
+            stypes = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
             srows = [tuple(r) for r in sdf.collect()]
         except Exception as e:  # noqa: BLE001
             print(f"FAIL {name}: spark error {type(e).__name__}: {str(e)[:300]}")
@@ -69,9 +76,10 @@ def main():
             print(f"rows {name}: {len(srows)} rows ({ts:.1f}s)")
             continue
         try:
-            res = con.execute(q.sql)
-            dcols = [d[0] for d in res.description]
-            drows = res.fetchall()
+            rel = con.sql(q.sql)
+            dtypes = {c: DUCK_TO_SPARK.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+            dcols = list(rel.columns)
+            drows = rel.fetchall()
         except Exception as e:  # noqa: BLE001
             print(f"FAIL {name}: duckdb error {str(e)[:300]}")
             bad += 1
@@ -80,6 +88,11 @@ def main():
             print(f"FAIL {name}: columns spark={scols} duckdb={dcols}")
             bad += 1
             continue
+        wrong = {c: (stypes[c], dtypes.get(c)) for c in scols if stypes[c] != dtypes.get(c)}
+        if wrong:
+            print(f"FAIL {name}: types differ {wrong}")
+            bad += 1
+            continue
         a, b = rows_of(scols, srows), rows_of(dcols, drows)
         if len(a) != len(b):
             print(f"FAIL {name}: rows spark={len(a)} duckdb={len(b)}")
