@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,6 +70,46 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per Spark application.
+
+    Batch functions are pickled by reference, so workers must be able to import
+    the package also when the driver was started from another folder.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_kiln_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="kiln-zip-"), "kiln_package.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    sc._kiln_shipped = True
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Defaults, checkpoint folder and worker package: what every registered query needs."""
+    configure(spark)
+    ensure_checkpoint_dir(spark)
+    ship_package(spark)
+    return spark
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet below the shared checkpoint folder and read it back.
+
+    Cuts lineage like ``materialize`` in a compressed, column-prunable form.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: writes to the shared checkpoint folder, survives executor loss."""
     ensure_checkpoint_dir(df.sparkSession)
