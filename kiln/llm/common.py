@@ -72,3 +72,11 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0x94D049BB133111EB)
     x ^= x >> np.uint64(31)
     return x
+
+
+def distinct(keys: np.ndarray) -> np.ndarray:
+    """Sorted distinct values (by sorting: hash-based unique is slower on mostly distinct keys)."""
+    if not len(keys):
+        return keys
+    keys = np.sort(keys)
+    return keys[np.append(True, keys[1:] != keys[:-1])]
