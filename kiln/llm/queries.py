@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from kiln.llm.bpe import bpe_decode, bpe_encode
 from kiln.llm.common import ready
 from kiln.llm.langid import op1_language
+from kiln.llm.neardup import op4_neardup
 from kiln.llm.topk import OP8_SQL, op8_topk
 from kiln.llm.toxicity import op5_toxicity
 from kiln.sources.tables import table
@@ -33,6 +34,7 @@ def op3_bpe(spark, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language": (op1_language, None),
     "op3_bpe": (op3_bpe, None),
+    "op4_neardup": (op4_neardup, None),
     "op5_toxicity": (op5_toxicity, None),
     "op8_topk": (op8_topk, OP8_SQL),
 }
