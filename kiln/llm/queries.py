@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kiln.llm.bpe import bpe_decode, bpe_encode
 from kiln.llm.common import ready
+from kiln.llm.decontaminate import op7_decontaminate
 from kiln.llm.langid import op1_language
 from kiln.llm.neardup import op4_neardup
 from kiln.llm.topk import OP8_SQL, op8_topk
@@ -36,5 +37,6 @@ QUERIES = {
     "op3_bpe": (op3_bpe, None),
     "op4_neardup": (op4_neardup, None),
     "op5_toxicity": (op5_toxicity, None),
+    "op7_decontaminate": (op7_decontaminate, None),
     "op8_topk": (op8_topk, OP8_SQL),
 }
