@@ -12,6 +12,7 @@ from kiln.llm.langid import op1_language
 from kiln.llm.neardup import op4_neardup
 from kiln.llm.topk import OP8_SQL, op8_topk
 from kiln.llm.toxicity import op5_toxicity
+from kiln.llm.warc import OP9_SQL, op9_warc
 from kiln.sources.tables import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -39,4 +40,5 @@ QUERIES = {
     "op5_toxicity": (op5_toxicity, None),
     "op7_decontaminate": (op7_decontaminate, None),
     "op8_topk": (op8_topk, OP8_SQL),
+    "op9_warc": (op9_warc, OP9_SQL),
 }
