@@ -32,6 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kiln.llm.common import ready, replace_columns, schema_plus, texts_of
@@ -273,3 +274,26 @@ def bpe_decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded",
             yield replace_columns(b, drop, **{out: texts})
 
     return df.mapInArrow(run, schema_plus(df, drop, **{out: T.StringType()}))
+
+
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """Place of an installed public tokenizer file."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def bpe_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of encoding every text and decoding its ids again."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
+    coded = bpe_decode(bpe_encode(rows, path, drop=("text",)), path)
+    return coded.select(
+        "doc_id", F.expr("length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op3_bpe(spark, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every document, as digests."""
+    from kiln.sources.tables import table
+
+    ready(spark)
+    return bpe_digests(table(spark, sf_dir, "documents"), tokenizer_path())

@@ -80,3 +80,14 @@ def distinct(keys: np.ndarray) -> np.ndarray:
         return keys
     keys = np.sort(keys)
     return keys[np.append(True, keys[1:] != keys[:-1])]
+
+
+def keep_texts(docs: DataFrame, held, decide, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` for which ``decide(held.value, texts)`` says true, all columns as they are."""
+    ready(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(decide(held.value, texts_of(b, text)), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

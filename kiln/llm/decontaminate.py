@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.common import distinct, mix64, ready, slices, texts_of
+from kiln.llm.common import distinct, keep_texts, mix64, ready, slices, texts_of
 from kiln.llm.shingles import join_hashes, word_hashes
 
 SHINGLE_WORDS = 5
@@ -229,18 +229,16 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     return found
 
 
+def _unmatched(index: ItemIndex, texts: list[str]) -> list[bool]:
+    bad = {x[0] for x in index.matches(texts)}
+    return [i not in bad for i in range(len(texts))]
+
+
 def drop_leaking(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that match no item, all columns as they are; one narrow pass per block of items."""
     spark = ready(docs.sparkSession)
     for block in item_blocks(benchmark):
-        held = spark.sparkContext.broadcast(ItemIndex(block))
-
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                bad = {x[0] for x in held.value.matches(texts_of(b, text))}
-                yield b.filter(pa.array([i not in bad for i in range(b.num_rows)], pa.bool_()))
-
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = keep_texts(docs, spark.sparkContext.broadcast(ItemIndex(block)), _unmatched, text)
     return docs
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kiln.llm.common import id_bucket, mix64, ready, replace_columns, schema_plus, slices, texts_of
+from kiln.llm.common import id_bucket, keep_texts, mix64, ready, replace_columns, schema_plus, slices, texts_of
 
 DIMS = 1024
 SLICE_CHARS = 60_000
@@ -174,6 +174,16 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "
     return docs.mapInArrow(run, schema_plus(docs, drop, lang_pred=T.StringType(), score=T.DoubleType()))
 
 
+def _determined(profiles: Profiles, texts: list[str]) -> list[bool]:
+    return [lang != UNDETERMINED for lang in profiles.predict(texts)[0]]
+
+
+def drop_undetermined(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text") -> DataFrame:
+    """The rows whose text has a language: those without any letter go."""
+    held = ready(docs.sparkSession).sparkContext.broadcast(Profiles(*model))
+    return keep_texts(docs, held, _determined, text)
+
+
 def op1_language(spark, sf_dir: str) -> DataFrame:
     """Language of every document, learned from those outside the held-out quarter."""
     from kiln.sources.tables import table

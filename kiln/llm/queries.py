@@ -2,36 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from kiln.llm.bpe import bpe_decode, bpe_encode
-from kiln.llm.common import ready
+import corpus_pipeline
+from kiln.llm.bpe import op3_bpe
 from kiln.llm.decontaminate import op7_decontaminate
 from kiln.llm.langid import op1_language
 from kiln.llm.neardup import op4_neardup
 from kiln.llm.topk import OP8_SQL, op8_topk
 from kiln.llm.toxicity import op5_toxicity
 from kiln.llm.warc import OP9_SQL, op9_warc
-from kiln.sources.tables import table
-
-TOKENIZER = "byte_bpe_50k.json"
-
-
-def tokenizer_path() -> str:
-    import public_tokenizers
-    return public_tokenizers.path(TOKENIZER)
-
-
-def op3_bpe(spark, sf_dir: str) -> DataFrame:
-    """Ids and decoded text of every document, as digests."""
-    ready(spark)
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe_decode(bpe_encode(docs, tokenizer_path(), drop=("text",)), tokenizer_path())
-    return coded.select(
-        "doc_id", F.expr("length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
-
 
 QUERIES = {
     "op1_language": (op1_language, None),
@@ -41,4 +19,5 @@ QUERIES = {
     "op7_decontaminate": (op7_decontaminate, None),
     "op8_topk": (op8_topk, OP8_SQL),
     "op9_warc": (op9_warc, OP9_SQL),
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }

@@ -23,9 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kiln.llm.common import distinct, id_bucket, mix64, ready, replace_columns, schema_plus, slices, texts_of
+from kiln.llm.common import distinct, id_bucket, keep_texts, mix64, ready, replace_columns, schema_plus, slices, texts_of
 
 HASH_BITS = 20
+TOXIC = 0.7
 SLICE_CHARS = 400_000
 SHARD_ROWS = 6_000
 # Bound of the labelled rows that are fitted; more are thinned by a hash of the id.
@@ -156,29 +157,57 @@ def fit_toxicity(labelled: DataFrame, text: str = "text", label: str = "label",
     return np.array([f for f, _ in kept], np.int64), np.array([x for _, x in kept], np.float32), bias
 
 
+class ToxicityScorer:
+    """Weights laid out for lookup."""
+
+    def __init__(self, model: tuple[np.ndarray, np.ndarray, float]):
+        at, weights, self.bias = model
+        self.sparse = at, weights
+        self.w: np.ndarray | None = None
+
+    def __getstate__(self):
+        return self.sparse, self.bias
+
+    def __setstate__(self, state):
+        self.sparse, self.bias = state
+        self.w = None
+
+    def scores(self, texts: list[str]) -> np.ndarray:
+        if self.w is None:
+            self.w = np.zeros(1 << HASH_BITS, np.float32)
+            self.w[self.sparse[0]] = self.sparse[1]
+        out = [np.empty(0)]
+        for s, e in slices(texts, SLICE_CHARS):
+            doc, feat = features(texts[s:e])
+            hit = self.w[feat] != 0
+            key = distinct(doc[hit] << HASH_BITS | feat[hit])
+            margin = self.bias + np.bincount(key >> HASH_BITS, self.w[key & ((1 << HASH_BITS) - 1)], e - s)
+            out.append(1 / (1 + np.exp(-np.clip(margin, -35, 35))))
+        return np.concatenate(out)
+
+
 def score_toxicity(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], text: str = "text",
                    out: str = "score", drop: tuple[str, ...] = ()) -> DataFrame:
     """Add ``out``: the probability that the whole text is toxic; null and empty texts get the base rate."""
-    spark = ready(docs.sparkSession)
-    held = spark.sparkContext.broadcast(model)
+    held = ready(docs.sparkSession).sparkContext.broadcast(ToxicityScorer(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, weights, bias = held.value
-        w = np.zeros(1 << HASH_BITS, np.float32)
-        w[at] = weights
         for b in batches:
-            texts, scores = texts_of(b, text), []
-            for s, e in slices(texts, SLICE_CHARS):
-                doc, feat = features(texts[s:e])
-                hit = w[feat] != 0
-                key = distinct(doc[hit] << HASH_BITS | feat[hit])
-                margin = bias + np.bincount(key >> HASH_BITS, w[key & ((1 << HASH_BITS) - 1)], e - s)
-                scores.append(1 / (1 + np.exp(-np.clip(margin, -35, 35))))
-            yield replace_columns(b, drop, **{out: pa.array(np.concatenate(scores) if scores else [], pa.float64())})
+            yield replace_columns(b, drop, **{out: pa.array(held.value.scores(texts_of(b, text)), pa.float64())})
 
     return docs.mapInArrow(run, schema_plus(docs, drop, **{out: T.DoubleType()}))
 
 
+def _clean(scorer: ToxicityScorer, texts: list[str]) -> list[bool]:
+    return (scorer.scores(texts) < TOXIC).tolist()
+
+
+def drop_toxic(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], text: str = "text") -> DataFrame:
+    """The rows whose score is below ``TOXIC``."""
+    held = ready(docs.sparkSession).sparkContext.broadcast(ToxicityScorer(model))
+    return keep_texts(docs, held, _clean, text)
+
+
 def bounded_sample(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_ROWS, id_col: str = "doc_id",
                    text: str = "text", label: str = "toxic") -> tuple[DataFrame, int]:
     """(doc_id, text, label) and their expected number: about ``bound`` labelled documents at most, chosen by a hash of the id.
@@ -210,4 +239,4 @@ def op5_toxicity(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = score_toxicity(docs.select("doc_id", "text"), toxicity_model(spark, docs, sf_dir), drop=("text",))
     return scored.select("doc_id", (id_bucket("doc_id", 3) == 1).alias("held_out"), "score",
-                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+                         (F.col("score") >= TOXIC).cast("int").alias("predicted"))
