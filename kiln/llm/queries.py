@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from kiln.llm.bpe import op3_bpe
+from kiln.llm.brown import op6_brown
 from kiln.llm.decontaminate import op7_decontaminate
 from kiln.llm.langid import op1_language
 from kiln.llm.neardup import op4_neardup
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_bpe": (op3_bpe, None),
     "op4_neardup": (op4_neardup, None),
     "op5_toxicity": (op5_toxicity, None),
+    "op6_brown": (op6_brown, None),
     "op7_decontaminate": (op7_decontaminate, None),
     "op8_topk": (op8_topk, OP8_SQL),
     "op9_warc": (op9_warc, OP9_SQL),
