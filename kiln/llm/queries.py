@@ -6,6 +6,7 @@ import corpus_pipeline
 from kiln.llm.bpe import op3_bpe
 from kiln.llm.brown import op6_brown
 from kiln.llm.decontaminate import op7_decontaminate
+from kiln.llm.html import op2_html
 from kiln.llm.langid import op1_language
 from kiln.llm.neardup import op4_neardup
 from kiln.llm.topk import OP8_SQL, op8_topk
@@ -14,6 +15,7 @@ from kiln.llm.warc import OP9_SQL, op9_warc
 
 QUERIES = {
     "op1_language": (op1_language, None),
+    "op2_html": (op2_html, None),
     "op3_bpe": (op3_bpe, None),
     "op4_neardup": (op4_neardup, None),
     "op5_toxicity": (op5_toxicity, None),
