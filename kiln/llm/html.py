@@ -15,6 +15,7 @@ import math
 import random
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from kiln.llm.common import ready, texts_of
 
-TRAIN_PAGES, EPOCHS, RATE, L2 = 400, 6, 0.5, 1e-4
+TRAIN_PAGES, EPOCHS, RATE, L2 = 500, 8, 0.5, 1e-4
 SEED = 7
 KNOWN_PATHS = 50_000
 MAX_PATH = 40
@@ -421,6 +422,12 @@ def labelled_pages(n: int = TRAIN_PAGES, seed: int = SEED) -> list[tuple[list[Bl
     return out
 
 
+@lru_cache(maxsize=1)
+def default_field() -> BlockField:
+    """The field trained on the default labelled pages, once per process."""
+    return train_field(labelled_pages())
+
+
 def extract_main(pages: DataFrame, field: BlockField, html: str = "html", id_col: str = "page_id", url: str = "url") -> DataFrame:
     """(page_id, url, text, n_chars) of every page; null and textless pages have an empty text."""
     held = ready(pages.sparkSession).sparkContext.broadcast(field)
@@ -441,4 +448,4 @@ def op2_html(spark, sf_dir: str) -> DataFrame:
     from kiln.sources.tables import table
 
     ready(spark)
-    return extract_main(table(spark, sf_dir, "pages"), train_field(labelled_pages()))
+    return extract_main(table(spark, sf_dir, "pages"), default_field())

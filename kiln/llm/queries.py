@@ -8,6 +8,7 @@ from kiln.llm.brown import op6_brown
 from kiln.llm.decontaminate import op7_decontaminate
 from kiln.llm.html import op2_html
 from kiln.llm.langid import op1_language
+from kiln.llm.licenses import op10_license
 from kiln.llm.neardup import op4_neardup
 from kiln.llm.topk import OP8_SQL, op8_topk
 from kiln.llm.toxicity import op5_toxicity
@@ -15,6 +16,7 @@ from kiln.llm.warc import OP9_SQL, op9_warc
 
 QUERIES = {
     "op1_language": (op1_language, None),
+    "op10_license": (op10_license, None),
     "op2_html": (op2_html, None),
     "op3_bpe": (op3_bpe, None),
     "op4_neardup": (op4_neardup, None),
