@@ -97,24 +97,29 @@ class TokenAutomaton:
         self.left: dict[int, int] = {}
         self.right: dict[int, int] = {}
         self.made: dict[int, int] = {}
+        self.table: dict[tuple[int, int], bool] = {}
+        self._ends: dict[int, list] = {}
+        self._starts: dict[int, list] = {}
         for k, (u, v, uv) in enumerate(merges):
             if uv in self.made:
                 raise ValueError("merges must make distinct tokens")
+            # A pair that earlier gadgets keep apart never meets: no arc is added, and uv never occurs.
+            if not (self._occurs(u) and self._occurs(v) and self._free(u, v)):
+                continue
             self.gadgets[u, v] = k
             self.left[uv], self.right[uv], self.made[uv] = u, v, k
-        self.table: dict[tuple[int, int], bool] = {}
-        self._ends: dict[int, list] = {}
-        self._starts: dict[int, list] = {}
         self.longest = max(map(len, labels))
         self.trie: dict[int, tuple[int, dict]] = {}
-        # A token that neither is a byte nor made by a merge is never produced.
         for t, label in enumerate(labels):
-            if len(label) == 1 or t in self.made:
+            if self._occurs(t):
                 node = self.trie
                 for b in label[:-1]:
                     node = node.setdefault(b, (-1, {}))[1]
                 node[label[-1]] = (t, node[label[-1]][1] if label[-1] in node else {})
 
+    def _occurs(self, t: int) -> bool:
+        return len(self.labels[t]) == 1 or t in self.made
+
     def _spine(self, t: int, side: dict[int, int], known: dict[int, list]) -> list[tuple[int, float]]:
         """Tokens at one border of t with the step at which each was merged into the next."""
         got = known.get(t)
@@ -133,16 +138,19 @@ class TokenAutomaton:
         """Whether the state entered by token p has an arc t."""
         ok = self.table.get((p, t))
         if ok is None:
-            ok = True
-            for u, until_u in self._spine(p, self.right, self._ends):
-                for v, until_v in self._spine(t, self.left, self._starts):
-                    k = self.gadgets.get((u, v))
-                    # Equal steps: runs of one token merge from the left, so the left one is gone already.
-                    if k is not None and k < until_u and k <= until_v:
-                        ok = False
-            self.table[p, t] = ok
+            ok = self.table[p, t] = self._free(p, t)
         return ok
 
+    def _free(self, p: int, t: int) -> bool:
+        """Whether no gadget so far took arc t from the state of p."""
+        for u, until_u in self._spine(p, self.right, self._ends):
+            for v, until_v in self._spine(t, self.left, self._starts):
+                k = self.gadgets.get((u, v))
+                # Equal steps: runs of one token merge from the left, so the left one is gone already.
+                if k is not None and k < until_u and k <= until_v:
+                    return False
+        return True
+
     def encode(self, word: bytes) -> list[int]:
         """Labels of the one accepted path over the bytes of a pre-split word.
 
