@@ -214,7 +214,8 @@ def exchange_classes(c: np.ndarray, classes: int, passes: int = PASSES) -> np.nd
             g[a] -= r
             g[:, a] -= s
             g[a, a] -= own
-            left, right = g.sum(1), g.sum(0)
+            # Wherever w goes, the classes around it get their bigrams with w back.
+            left, right = g.sum(1) + s, g.sum(0) + r
             gain = (_h(g + r[None, :]) - _h(g)).sum(1) + (_h(g + s[:, None]) - _h(g)).sum(0)
             d = g.diagonal()
             gain += _h(d + r + s + own) - _h(d + r) - _h(d + s) + _h(d)
