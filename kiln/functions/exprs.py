@@ -17,6 +17,12 @@ def col_of(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def numeric(c) -> Column:
+    """A column as double with NaN as NULL: the one cast all statistics read through."""
+    x = col_of(c).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 # ---------------------------------------------------------------- predicates
 
 def threshold_flag(c, t: float) -> Column:
@@ -104,9 +110,9 @@ def rules_expr(rules: Sequence[tuple[Column, object]]) -> Column:
     return out
 
 
-def mean_bins_expr(c, mean: float, labels=("Zero", "Small", "Big")) -> Column:
-    """0 -> Zero, 0 < x < mean -> Small, x >= mean -> Big, else NULL."""
-    x = col_of(c)
+def mean_bins_expr(c, mean: float, labels) -> Column:
+    """(zero, small, big) labels: 0 -> zero, 0 < x < mean -> small, x >= mean -> big, else NULL."""
+    x = numeric(c)
     zero, small, big = labels
     return (F.when(x == 0, F.lit(zero))
             .when((x > 0) & (x < F.lit(mean)), F.lit(small))
@@ -145,7 +151,7 @@ def swish(c) -> Column:
 
 def zscore_expr(c, mean: float, std: float) -> Column:
     """(x - mean) / std with population std; zero variance -> 0."""
-    x = col_of(c)
+    x = numeric(c)
     if std == 0 or std is None:
         return F.when(x.isNotNull(), F.lit(0.0))
     return (x - F.lit(mean)) / F.lit(std)

@@ -14,15 +14,12 @@ from kiln.operators.columns import columns_of_type
 from kiln.operators.positions import BROADCAST_ROWS, positions
 from kiln.session import materialize
 
-# Categories per one-hot column are collected (after a size check) to build the
-# plan's column list; a column with more distinct values than this is an error.
-MAX_CATEGORIES = 1000
-# Above this many generated columns ``apply`` returns one vector column instead
-# (hundreds of CASE columns hit the generated-code method size limits).
-WIDE_COLUMNS = 500
+# A fitted one-hot holds its category lists on the driver; fits refuse more than this many in
+# total unless the caller allows more.
+MAX_CATEGORIES = 1_000_000
 
 
-def _distinct_values(dfs: Sequence[DataFrame], cols: Sequence[str]) -> dict[str, list]:
+def _distinct_values(dfs: Sequence[DataFrame], cols: Sequence[str], limit: int) -> dict[str, list]:
     """Sorted distinct non-null values per column over all ``dfs``: one distributed
     distinct of (column, value) pairs, checked for size before it is collected."""
     longs = [d.select([F.col(c).cast("string").alias(c) for c in cols]).unpivot([], list(cols), "_c", "_v")
@@ -31,12 +28,11 @@ def _distinct_values(dfs: Sequence[DataFrame], cols: Sequence[str]) -> dict[str,
     for other in longs[1:]:
         long = long.unionByName(other)
     pairs = long.filter(F.col("_v").isNotNull()).distinct()
-    sizes = {r["_c"]: r["n"] for r in pairs.groupBy("_c").count().withColumnRenamed("count", "n").collect()}
-    too_big = {c: n for c, n in sizes.items() if n > MAX_CATEGORIES}
-    if too_big:
-        raise ValueError(f"too many categories for one-hot columns: {too_big}")
+    rows = pairs.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} categories")
     found: dict[str, list] = {c: [] for c in cols}
-    for r in pairs.collect():
+    for r in rows:
         found[r["_c"]].append(r["_v"])
     return found
 
@@ -55,10 +51,11 @@ class FittedOneHot:
             names += [f"{p}_{v}" for v in (cats[1:] if self.drop_first else cats)]
         return names
 
-    def apply(self, df: DataFrame, as_vector: bool | None = None, out: str = "one_hot") -> DataFrame:
-        """0/1 columns, or (``as_vector``; automatic above WIDE_COLUMNS generated columns)
-        one sparse vector column ``out`` in the same column order."""
-        if as_vector or (as_vector is None and len(self.column_names()) > WIDE_COLUMNS):
+    def apply(self, df: DataFrame, as_vector: bool = False, out: str = "one_hot") -> DataFrame:
+        """0/1 columns, or with ``as_vector`` one sparse vector column ``out`` in the same
+        order. The form never depends on the data; ask for the vector where many hundred
+        columns would come out (generated code has a method size limit)."""
+        if as_vector:
             return self.apply_vector(df, out)
         keep = [F.col(c) for c in df.columns if c not in self.categories]
         dummies = []
@@ -94,10 +91,11 @@ def _sort_values(values: list, numeric: bool) -> list:
 
 
 def fit_one_hot(df: DataFrame | Sequence[DataFrame], cols: Sequence[str], prefixes: Mapping | Sequence | None = None,
-                declared: Mapping[str, Sequence] | None = None, drop_first: bool = False) -> FittedOneHot:
+                declared: Mapping[str, Sequence] | None = None, drop_first: bool = False,
+                limit: int = MAX_CATEGORIES) -> FittedOneHot:
     """Sorted categories seen in ``df`` (or in all given tables -> E11) plus declared ones."""
     dfs = [df] if isinstance(df, DataFrame) else list(df)
-    found = _distinct_values(dfs, cols)
+    found = _distinct_values(dfs, cols, limit)
     numeric = set(columns_of_type(dfs[0], "number"))
     cats = {}
     for c in cols:

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kiln.operators.ordering import hash_number
 from kiln.operators.positions import positions
 from kiln.operators.stats import attach_stats
 
@@ -125,7 +126,7 @@ def advantage(df: DataFrame, ret: str, value: str, out: str = "advantage") -> Da
 def recent_sample(df: DataFrame, ts: str, key: str, last_n: int, k: int, seed: int = 0) -> DataFrame:
     """The latest ``last_n`` transitions (a bounded buffer), then a random ``k`` of them."""
     recent = df.orderBy(F.desc(ts), F.desc(key)).limit(last_n)
-    return recent.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(k)
+    return recent.orderBy(hash_number(key, seed), key).limit(k)
 
 
 def rows_to_arrays(df: DataFrame, episode: str, step: str, cols: Sequence[str], batch: int = 32) -> DataFrame:

@@ -64,6 +64,22 @@ class FittedAdaBoost:
         return res.drop(*[f"_p{m}" for m in range(len(self.stumps))])
 
 
+def _release(held: list) -> None:
+    for df in held:
+        df.unpersist()
+
+
+def _next_weights(data: DataFrame, held: list, m: int) -> list:
+    """The next round's weights, computed; earlier rounds' copies are released as soon as they are not needed."""
+    if (m + 1) % CHECKPOINT_EVERY == 0:
+        data = materialize(data)
+    else:
+        data = data.cache()
+        data.count()
+    _release(held)
+    return [data]
+
+
 def adaboost_classifier(df: DataFrame, features: Sequence[str], label: str, n_estimators: int = 50,
                         learning_rate: float = 1.0) -> FittedAdaBoost:
     """M8: SAMME with depth-1 trees; alpha = lr * (ln((1 - err) / err) + ln(K - 1))."""
@@ -72,7 +88,7 @@ def adaboost_classifier(df: DataFrame, features: Sequence[str], label: str, n_es
     classes = sorted(r[0] for r in data.select("_y").distinct().collect())
     k = len(classes)
     data = materialize(data.select("features", "_y", F.lit(1.0 / n).alias("_w")))
-    fit = FittedAdaBoost(tuple(features), classes=classes)
+    fit, held = FittedAdaBoost(tuple(features), classes=classes), []
     for m in range(n_estimators):
         tree = DecisionTreeClassifier(maxDepth=1, labelCol="_y", weightCol="_w", seed=m).fit(data)
         pred = _named(tree, 0).transform(data)
@@ -92,7 +108,9 @@ def adaboost_classifier(df: DataFrame, features: Sequence[str], label: str, n_es
         fit.alphas.append(alpha)
         total = (1 - err) + err * math.exp(alpha)  # weights sum to 1 before the update
         data = pred.select("features", "_y", (F.col("_w") * F.exp(F.lit(alpha) * miss) / total).alias("_w"))
-        data = materialize(data) if (m + 1) % CHECKPOINT_EVERY == 0 else data.cache()
+        held = _next_weights(data, held, m)
+        data = held[-1]
+    _release(held)
     return fit
 
 
@@ -102,7 +120,7 @@ def adaboost_regressor(df: DataFrame, features: Sequence[str], label: str, n_est
     data = assembler(features).transform(df.select(*features, F.col(label).cast("double").alias("_y")))
     n = data.count()
     data = materialize(data.select("features", "_y", F.lit(1.0 / n).alias("_w")))
-    fit = FittedAdaBoost(tuple(features))
+    fit, held = FittedAdaBoost(tuple(features)), []
     for m in range(n_estimators):
         tree = DecisionTreeRegressor(maxDepth=max_depth, labelCol="_y", weightCol="_w", seed=m).fit(data)
         pred = _named(tree, 0).transform(data).withColumn("_e", F.abs(F.col("_p0") - F.col("_y")))
@@ -125,5 +143,7 @@ def adaboost_regressor(df: DataFrame, features: Sequence[str], label: str, n_est
         data = pred.select("features", "_y", upd.alias("_w"))
         tot = data.agg(F.sum("_w")).first()[0]
         data = data.withColumn("_w", F.col("_w") / tot)
-        data = materialize(data) if (m + 1) % CHECKPOINT_EVERY == 0 else data.cache()
+        held = _next_weights(data, held, m)
+        data = held[-1]
+    _release(held)
     return fit

@@ -1,105 +1,81 @@
 """k-nearest-neighbour classifier and regressor (M5, M21), exact.
 
-Small training side (rows x dims under a checked bound): it is collected once
-and broadcast; every query partition computes its exact top k with numpy in
-Arrow batches (no shuffle of the query side).
-
-Large training side: the training rows are cut into chunks of at most
-``chunk_rows`` (one array row per chunk). Every query row meets every chunk
-through an equi-join on (query block, chunk), computes the distances to the
-chunk's points inside one array expression and keeps its k best; the per-chunk
-candidates (k per chunk) are merged per query.
-
-Distances are squared Euclidean summed dimension by dimension; ties go to the
-smaller training id.
+The training rows go in blocks of about ``BLOCK_NUMBERS`` numbers (rows x dims), split by a hash of the
+id; each block is broadcast in turn and every query partition computes its exact top k of the block with
+numpy in Arrow batches (the query side is never shuffled for it). The per-block winners, k rows per
+query and block, are merged per query. One block or many, the path, types and result are the same.
+
+Distances are squared Euclidean summed dimension by dimension; ties go to the smaller training id.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.session import spread
 
-CHUNK_ROWS = 4096
-BROADCAST_POINTS = 500_000     # training rows x dims above which the chunk table is shuffled
-QUERY_BLOCKS = 64
-
-
-def sq_dist(a: Column, b: Column) -> Column:
-    """Squared Euclidean distance of two equal-length double arrays (left-to-right sum)."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, v: acc + v)
+BLOCK_NUMBERS = 2_000_000  # training rows x dims that are broadcast together
 
 
 def neighbours(train: DataFrame, query: DataFrame, vec: str, label: str, k: int, train_id: str,
-               query_id: str, exclude_self: bool = False, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """(query_id, nn) with nn = the k nearest training points as array<struct<dist, tid, label>>."""
+               query_id: str, exclude_self: bool = False, block_numbers: int = BLOCK_NUMBERS) -> DataFrame:
+    """(query_id, nn) with nn = the k nearest training points as array<struct<dist, tid, label>>; ids and
+    labels of any type. Training rows without id or vector take no part."""
     tr = train.select(F.col(train_id).alias("_tid"), F.col(label).alias("_lab"),
-                      F.col(vec).cast("array<double>").alias("_v"))
+                      F.col(vec).cast("array<double>").alias("_v")).where("_tid IS NOT NULL AND _v IS NOT NULL")
     n, dims = tr.agg(F.count(F.lit(1)), F.max(F.size("_v"))).first()
-    if n * (dims or 1) <= BROADCAST_POINTS:
-        return _broadcast_neighbours(tr, query, vec, k, query_id, exclude_self, train.schema[label].dataType)
-    chunks_n = max(1, math.ceil(n / chunk_rows))
-    tr = tr.withColumn("_chunk", F.pmod(F.xxhash64("_tid"), F.lit(chunks_n)))
-    chunks = tr.groupBy("_chunk").agg(F.collect_list(F.struct("_tid", "_lab", "_v")).alias("_pts"))
-    q = query.select(F.col(query_id).alias("_qid"), F.col(vec).cast("array<double>").alias("_q"))
-    q = q.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks_n - 1)).cast("array<long>")))
-    blocks = F.pmod(F.xxhash64("_qid"), F.lit(QUERY_BLOCKS))
-    q = q.withColumn("_qb", blocks)
-    chunks = chunks.withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(QUERY_BLOCKS - 1)).cast("array<long>")))
-    j = q.join(chunks, ["_chunk", "_qb"])
-    cand = F.transform("_pts", lambda p: F.struct(sq_dist(p["_v"], F.col("_q")).alias("dist"),
-                                                  p["_tid"].alias("tid"), p["_lab"].alias("label")))
-    if exclude_self:
-        cand = F.filter(cand, lambda c: c["tid"] != F.col("_qid"))
-    j = j.select("_qid", F.slice(F.array_sort(cand), 1, k).alias("_top"))
-    merged = j.groupBy("_qid").agg(F.flatten(F.collect_list("_top")).alias("_all"))
-    return merged.select(F.col("_qid").alias(query_id), F.slice(F.array_sort("_all"), 1, k).alias("nn"))
-
-
-def _broadcast_neighbours(tr: DataFrame, query: DataFrame, vec: str, k: int, query_id: str, exclude_self: bool,
-                          label_type) -> DataFrame:
-    pdf = tr.toPandas()  # bounded by BROADCAST_POINTS (checked by the caller)
-    order = np.argsort(pdf["_tid"].to_numpy(), kind="stable")
-    tids = pdf["_tid"].to_numpy()[order]
-    labs = pdf["_lab"].to_numpy()[order]
-    pts = np.stack(pdf["_v"].to_numpy())[order] if len(pdf) else np.zeros((0, 0))
-    bc = tr.sparkSession.sparkContext.broadcast((tids, labs, pts))
-    lab_sql = label_type.simpleString()
+    blocks = max(1, math.ceil(n * (dims or 1) / block_numbers))
+    types = {c: f.dataType.simpleString() for c, f in
+             (("tid", train.schema[train_id]), ("lab", train.schema[label]), ("qid", query.schema[query_id]))}
+    schema = f"`{query_id}` {types['qid']}, nn array<struct<dist: double, tid: {types['tid']}, label: {types['lab']}>>"
+    q = spread(query.select(F.col(query_id).alias("_qid"), F.col(vec).cast("array<double>").alias("_q")), "_qid")
+    parts = [_block_neighbours(tr.where(F.pmod(F.xxhash64("_tid"), F.lit(blocks)) == b), q, k, query_id, exclude_self, schema)
+             for b in range(blocks)]
+    if blocks == 1:
+        return parts[0]
+    merged = reduce(lambda a, b: a.unionByName(b), parts).groupBy(query_id).agg(F.flatten(F.collect_list("nn")).alias("_all"))
+    return merged.select(query_id, F.slice(F.array_sort("_all"), 1, k).alias("nn"))
+
+
+def _block_neighbours(tr: DataFrame, q: DataFrame, k: int, query_id: str, exclude_self: bool, schema: str) -> DataFrame:
+    rows = tr.orderBy("_tid").collect()  # bounded by the block size
+    pts = np.array([r["_v"] for r in rows], np.float64) if rows else np.zeros((0, 0))
+    bc = tr.sparkSession.sparkContext.broadcast(([r["_tid"] for r in rows], [r["_lab"] for r in rows], pts))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         t_ids, t_labs, t_pts = bc.value
+        order = np.arange(len(t_ids))  # rows come in id order, so positions break ties
+        places: dict = {}
+        for i, t in enumerate(t_ids):
+            places.setdefault(t, []).append(i)
         for pdf in batches:
             out_nn = []
             for start in range(0, len(pdf), 256):
                 part = pdf.iloc[start:start + 256]
                 qv = np.stack(part["_q"].to_numpy())
                 dist = np.zeros((len(part), len(t_ids)))
-                for j in range(qv.shape[1]):  # dimension by dimension, as a left-to-right sum
+                for j in range(qv.shape[1] if len(t_ids) else 0):  # dimension by dimension, as a left-to-right sum
                     diff = qv[:, j, None] - t_pts[None, :, j]
                     dist += diff * diff
-                qids = part["_qid"].to_numpy()
                 if exclude_self:
-                    pos = np.searchsorted(t_ids, qids)
-                    hit = (pos < len(t_ids)) & (t_ids[np.minimum(pos, len(t_ids) - 1)] == qids)
-                    dist[np.nonzero(hit)[0], pos[hit]] = np.inf
+                    for row, qid in enumerate(part["_qid"].tolist()):
+                        dist[row, places.get(qid, [])] = np.inf
                 kk = min(k, len(t_ids))
                 kth = np.partition(dist, kk - 1, axis=1)[:, kk - 1] if kk else np.zeros(len(part))
                 for row in range(len(part)):
                     cand = np.nonzero(dist[row] <= kth[row])[0]  # k nearest plus any ties at the k-th distance
-                    top = cand[np.lexsort((t_ids[cand], dist[row, cand]))][:kk]
+                    top = cand[np.lexsort((order[cand], dist[row, cand]))][:kk]
                     top = top[np.isfinite(dist[row, top])]
-                    out_nn.append([{"dist": float(dist[row, i]), "tid": int(t_ids[i]), "label": t_labs[i].item()}
-                                   for i in top])
+                    out_nn.append([{"dist": float(dist[row, i]), "tid": t_ids[i], "label": t_labs[i]} for i in top])
             yield pd.DataFrame({query_id: pdf["_qid"], "nn": out_nn})
 
-    q = spread(query.select(F.col(query_id).alias("_qid"), F.col(vec).cast("array<double>").alias("_q")), "_qid")
-    schema = f"{query_id} long, nn array<struct<dist: double, tid: long, label: {lab_sql}>>"
     return q.mapInPandas(run, schema)
 
 

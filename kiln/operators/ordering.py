@@ -27,17 +27,23 @@ def top_k(df: DataFrame, c: str, k: int, skip: int = 0, key: Sequence[str] = ())
     return ordered.offset(skip).limit(k) if skip else ordered.limit(k)
 
 
+def hash_number(key: str | Sequence[str], seed: int) -> Column:
+    """52-bit number from the leading 13 hex digits of md5("seed|key|..."), which any SQL engine computes
+    alike; a NULL key counts as the text ``NULL``."""
+    keys = [key] if isinstance(key, str) else list(key)
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("long")
+
+
 def uniform(key: str | Sequence[str], seed: int) -> Column:
     """Deterministic U[0, 1) from a hash of the key columns and the seed."""
-    keys = [key] if isinstance(key, str) else list(key)
-    h = F.xxhash64(F.lit(seed), *[F.col(k) for k in keys])
-    return (F.pmod(h, F.lit(1 << 52)).cast("double") / float(1 << 52))
+    return hash_number(key, seed).cast("double") / float(1 << 52)
 
 
 def shuffle_rows(df: DataFrame, key: str | Sequence[str], seed: int = 42) -> DataFrame:
     """O3: repeatable random order."""
     keys = [key] if isinstance(key, str) else list(key)
-    return df.orderBy(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), *keys)
+    return df.orderBy(hash_number(keys, seed), *keys)
 
 
 def train_test_split(df: DataFrame, key: str | Sequence[str], train_frac: float = 0.7,
@@ -52,7 +58,7 @@ def stratified_split(df: DataFrame, label: str, key: str, train_frac: float = 0.
     """Exact class shares: each class's rows ranked by hash; the first
     round(frac * n_class) go to train. Ranking uses range-partitioned positions,
     so a dominant class is spread over many tasks."""
-    h = df.withColumn("_h", F.xxhash64(F.lit(seed), F.col(key)))
+    h = df.withColumn("_h", hash_number(key, seed))
     ranked = positions(h, ["_h", key], [label], name="_pos")
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     ranked = attach_stats(ranked, sizes, [label])

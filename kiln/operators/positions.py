@@ -22,8 +22,11 @@ from kiln.session import materialize
 BROADCAST_ROWS = 2_000_000
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]):
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
+def null_safe_join(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``cols`` with NULL equal to NULL; the key columns are the left side's."""
+    renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in cols})
+    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in cols])
+    return left.join(renamed, cond, how).drop(*[f"_r_{c}" for c in cols])
 
 
 def sorted_checkpoint(df: DataFrame, keys: Sequence) -> DataFrame:

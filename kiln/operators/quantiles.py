@@ -22,19 +22,19 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kiln.operators.positions import BROADCAST_ROWS
+from kiln.operators.positions import BROADCAST_ROWS, null_safe_join
 
 ACCURACY = 10_000
 BAND_DISTINCT = 100_000
 BUCKETS = 1024
-MAX_ROUNDS = 8
+MAX_ROUNDS = 400  # each round divides a band by 1024 or drops an empty part: far more than doubles need
 _INF = float("inf")
 
 
 def _with_targets(data: DataFrame, w: DataFrame, group_cols: list[str], small: bool) -> DataFrame:
     """Attach each group's target arrays to its rows (lookup join, one row per group;
     broadcast when the number of groups is small)."""
-    return data.join(F.broadcast(w) if small else w, group_cols, "inner")
+    return null_safe_join(data, F.broadcast(w) if small else w, group_cols)
 
 
 def _measure(data: DataFrame, w: DataFrame, group_cols: list[str], m: int, small: bool) -> DataFrame:
@@ -50,7 +50,7 @@ def _measure(data: DataFrame, w: DataFrame, group_cols: list[str], m: int, small
     stats = j.groupBy(*group_cols).agg(*aggs)
     stats = stats.select(*group_cols, *[F.array(*[F.col(f"_{k}{i}") for i in range(m)]).alias(f"_{k}")
                                         for k in ("below", "in", "nd")])
-    out = w.drop("_below", "_in", "_nd").join(stats, group_cols, "inner").cache()
+    out = null_safe_join(w.drop("_below", "_in", "_nd"), stats, group_cols).cache()
     out.count()
     return out
 
@@ -127,7 +127,7 @@ def quantiles(df: DataFrame, x: str, probs: Sequence[float], group_cols: Sequenc
             break
         band = _band_rows(data, w, group_cols, m, small, only_wide=band_distinct)
         tl = _long(w, group_cols, m, ["_r", "_a", "_b", "_below"])
-        band = band.join(tl, [*group_cols, "_i"])
+        band = null_safe_join(band, tl, [*group_cols, "_i"])
         lo = F.greatest(F.col("_a"), F.lit(-1.7e308))
         width = (F.least(F.col("_b"), F.lit(1.7e308)) - lo) / BUCKETS
         bucket = F.when(width > 0, F.least(F.floor((F.col("_x") - lo) / width), F.lit(BUCKETS - 1))).otherwise(0)
@@ -138,7 +138,7 @@ def quantiles(df: DataFrame, x: str, probs: Sequence[float], group_cols: Sequenc
         pick = hist.filter((F.col("_cb") <= F.col("_r")) & (F.col("_r") < F.col("_cb") + F.col("_c")))
         upd = pick.groupBy(*group_cols).agg(F.map_from_entries(F.collect_list(
             F.struct("_i", F.struct(F.col("_kmin").alias("a"), F.col("_kmax").alias("b"))))).alias("_upd"))
-        nw = w.join(upd, group_cols, "left")
+        nw = null_safe_join(w, upd, group_cols, "left")
         nw = nw.select(*group_cols, "_n", "_r",
                        F.array(*[F.coalesce(F.col("_upd")[i]["a"], F.col("_a")[i]) for i in idx]).alias("_a"),
                        F.array(*[F.coalesce(F.col("_upd")[i]["b"], F.col("_b")[i]) for i in idx]).alias("_b"))
@@ -150,11 +150,11 @@ def quantiles(df: DataFrame, x: str, probs: Sequence[float], group_cols: Sequenc
     wv = Window.partitionBy(*group_cols, "_i").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
     vc = vc.withColumn("_cum", F.sum("_c").over(wv))
     tl = _long(w, group_cols, m, ["_r", "_below"])
-    vc = vc.join(tl, [*group_cols, "_i"])
+    vc = null_safe_join(vc, tl, [*group_cols, "_i"])
     hit = vc.filter((F.col("_below") + F.col("_cum") - F.col("_c") <= F.col("_r")) &
                     (F.col("_r") < F.col("_below") + F.col("_cum")))
     vals = hit.groupBy(*group_cols).agg(F.map_from_entries(F.collect_list(F.struct("_i", "_x"))).alias("_v"))
-    vals = vals.join(w.select(*group_cols, "_n"), group_cols)
+    vals = null_safe_join(vals, w.select(*group_cols, "_n"), group_cols)
     out = []
     for k, p in enumerate(probs):
         h = (F.col("_n") - 1) * F.lit(p)

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kiln.functions import (cut_expr, extract_group, groups_expr, mean_bins_expr, nonzero_expr, prefix_expr,
+from kiln.functions import (cut_expr, extract_group, groups_expr, mean_bins_expr, nonzero_expr, numeric, prefix_expr,
                             presence_expr, replace_expr, rules_expr)
 
 # Mappings longer than this become a broadcast lookup table instead of a CASE chain
@@ -28,10 +28,11 @@ def replace_values(df: DataFrame, c: str, mapping: Mapping | None = None, values
 
 
 def _lookup(df: DataFrame, c: str, spec: Mapping, out: str) -> DataFrame:
-    spark = df.sparkSession
-    table = spark.createDataFrame([(str(k), str(v)) for k, v in spec.items()], "_k string, _v string")
-    j = df.join(F.broadcast(table), F.col(c).cast("string") == F.col("_k"), "left")
-    return j.withColumn(out, F.coalesce(F.col("_v"), F.col(c).cast("string"))).drop("_k", "_v")
+    """As a CASE chain over ``spec``, result type included, by a lookup join with the driver-given table."""
+    pairs = F.array(*[F.struct(F.lit(k).alias("_k"), F.lit(v).alias("_v")) for k, v in spec.items()])
+    table = df.sparkSession.range(1).select(F.explode(pairs).alias("_p")).select("_p._k", "_p._v", F.lit(True).alias("_hit"))
+    j = df.join(F.broadcast(table), F.col(c) == F.col("_k"), "left")
+    return j.withColumn(out, F.when(F.col("_hit"), F.col("_v")).otherwise(F.col(c))).drop("_k", "_v", "_hit")
 
 
 def recode_prefix(df: DataFrame, c: str, rules: Sequence[tuple[str, str]], out: str | None = None) -> DataFrame:
@@ -59,16 +60,17 @@ def bin_by_rules(df: DataFrame, rules: Sequence[tuple[Column, str]], out: str) -
 
 @dataclass(frozen=True)
 class FittedMeanBins:
-    """Mean of each column fitted on one table; Zero / Small / Big on any table."""
+    """Mean of each column fitted on one table; the three labels on any table."""
     means: dict
+    labels: tuple = ("none", "below", "above")
 
     def apply(self, df: DataFrame, suffix: str = "") -> DataFrame:
-        return df.withColumns({c + suffix: mean_bins_expr(c, m) for c, m in self.means.items()})
+        return df.withColumns({c + suffix: mean_bins_expr(c, m, self.labels) for c, m in self.means.items()})
 
 
-def fit_mean_bins(df: DataFrame, cols: Sequence[str]) -> FittedMeanBins:
-    row = df.agg(*[F.avg(c).alias(c) for c in cols]).first()
-    return FittedMeanBins({c: row[c] for c in cols})
+def fit_mean_bins(df: DataFrame, cols: Sequence[str], labels: Sequence[str] = ("none", "below", "above")) -> FittedMeanBins:
+    row = df.agg(*[F.avg(numeric(c)).alias(c) for c in cols]).first()
+    return FittedMeanBins({c: row[c] for c in cols}, tuple(labels))
 
 
 def presence_flag(df: DataFrame, c: str, yes=1, no=0, out: str | None = None) -> DataFrame:

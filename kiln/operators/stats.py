@@ -13,8 +13,9 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kiln.functions import numeric
 from kiln.operators.missing import mode_of
-from kiln.operators.positions import BROADCAST_ROWS
+from kiln.operators.positions import BROADCAST_ROWS, null_safe_join
 from kiln.operators.quantiles import quantiles
 from kiln.session import spread
 
@@ -33,7 +34,7 @@ def attach_stats(data: DataFrame, stats: DataFrame, groups: Sequence[str]) -> Da
         row = stats.first()
         return data.withColumns({c: F.lit(row[c]) for c in stats.columns})
     small = stats.count() <= BROADCAST_ROWS
-    return data.join(F.broadcast(stats) if small else stats, list(groups), "inner")
+    return null_safe_join(data, F.broadcast(stats) if small else stats, groups, "inner")
 
 
 def conditional_rate(df: DataFrame, group: str | Sequence[str], flag: str, name: str = "rate") -> DataFrame:
@@ -47,7 +48,7 @@ def basic_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A2: count, sum, mean, min, max per column (one aggregate, long output)."""
     aggs = []
     for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
+        x = numeric(c)
         aggs += [F.count(x).alias(f"n{i}"), F.sum(x).alias(f"s{i}"), F.avg(x).alias(f"m{i}"),
                  F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
     wide = df.agg(*aggs)
@@ -59,7 +60,7 @@ def basic_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A3: exact median per column, one grouped-quantile job over the unpivoted columns."""
-    long = df.select([F.col(c).cast("double").alias(c) for c in cols]).unpivot([], list(cols), "column", "value")
+    long = df.select([numeric(c).alias(c) for c in cols]).unpivot([], list(cols), "column", "value")
     return quantiles(long, "value", [0.5], ["column"]).select("column", F.col("value").alias("median"))
 
 
@@ -73,7 +74,7 @@ def skewness(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     NULLs ignored; sorted descending. Zero variance -> 0 (as pandas); n < 3 -> NULL."""
     aggs = []
     for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
+        x = numeric(c)
         aggs += [F.skewness(x).alias(f"g{i}"), F.count(x).alias(f"n{i}"), F.var_pop(x).alias(f"v{i}")]
     wide = df.agg(*aggs)
     rows = []
@@ -98,7 +99,7 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     got = {}
     for s in range(0, len(pairs), AGG_CHUNK):
         chunk = pairs[s:s + AGG_CHUNK]
-        row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{k}")
+        row = df.agg(*[F.corr(numeric(a), numeric(b)).alias(f"r{k}")
                        for k, (a, b) in enumerate(chunk)]).first()
         for k, (a, b) in enumerate(chunk):
             got[(a, b)] = got[(b, a)] = row[f"r{k}"]
@@ -115,7 +116,7 @@ def correlation_lower(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def top_correlated(df: DataFrame, target: str, cols: Sequence[str], k: int = 5) -> DataFrame:
     """The k columns with largest |r| against ``target`` (target itself excluded)."""
     others = [c for c in cols if c != target]
-    row = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(f"r{i}")
+    row = df.agg(*[F.corr(numeric(c), numeric(target)).alias(f"r{i}")
                    for i, c in enumerate(others)]).first()
     vals = [(c, row[f"r{i}"]) for i, c in enumerate(others)]
     t = _long(vals, "column string, r double", df.sparkSession)
@@ -138,7 +139,7 @@ def histogram(df: DataFrame, c: str, bins: int = 30, by: str | None = None) -> D
     """A10: equal-width bins over [min, max] of each ``by`` group (the last bin closed);
     rows (by, bin, lo, hi, count) for every bin, empty ones included."""
     groups = [by] if by else []
-    x = F.col(c).cast("double")
+    x = numeric(c)
     rng = df.groupBy(*groups).agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))
     width = (F.col("_hi") - F.col("_lo")) / bins
     data = df.select(*groups, x.alias("_x")).filter(F.col("_x").isNotNull())
@@ -146,7 +147,7 @@ def histogram(df: DataFrame, c: str, bins: int = 30, by: str | None = None) -> D
     b = F.when(width > 0, F.least(F.floor((F.col("_x") - F.col("_lo")) / width), F.lit(bins - 1))).otherwise(0)
     counts = j.groupBy(*groups, b.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     grid = rng.select(*groups, "_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    out = grid.join(counts, [*groups, "bin"], "left")  # both sides: (groups x bins) rows
+    out = null_safe_join(grid, counts, [*groups, "bin"], "left")  # both sides: (groups x bins) rows
     return out.select(*groups, "bin", (F.col("_lo") + F.col("bin") * width).alias("lo"),
                       (F.col("_lo") + (F.col("bin") + 1) * width).alias("hi"),
                       F.coalesce(F.col("count"), F.lit(0)).alias("count"))
@@ -160,7 +161,7 @@ def boxplot_stats(df: DataFrame, c: str, by: str | None = None, whisker: float =
     qw = q.groupBy(*groups).agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(n)
                                   for p, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
     qw = qw.withColumn("iqr", F.col("q3") - F.col("q1"))
-    x = F.col(c).cast("double")
+    x = numeric(c)
     data = df.select(*groups, x.alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
     j = attach_stats(data, qw, groups)
     lo_f = F.col("q1") - whisker * F.col("iqr")
@@ -172,14 +173,14 @@ def boxplot_stats(df: DataFrame, c: str, by: str | None = None, whisker: float =
                                F.count(F.lit(1)).alias("n"))
     if not groups:
         return attach_stats(w, qw, [])
-    return qw.join(w, groups, "inner")
+    return null_safe_join(qw, w, groups, "inner")
 
 
 def kde_curve(df: DataFrame, c: str, grid: int = 200, cut: float = 3.0) -> DataFrame:
     """Gaussian kernel density on ``grid`` points from min - cut*h to max + cut*h,
     Scott bandwidth h = n^(-1/5) * sample std. Each row contributes to every grid point
     inside its own task (generate + partial aggregate), so only grid-sized partials shuffle."""
-    x = F.col(c).cast("double")
+    x = numeric(c)
     s = df.agg(F.count(x).alias("n"), F.stddev_samp(x).alias("sd"), F.min(x).alias("lo"),
                F.max(x).alias("hi")).first()
     n, sd = s["n"], s["sd"]

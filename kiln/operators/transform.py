@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.functions import all_of, safe_log1p, swish, zscore_expr
+from kiln.functions import all_of, numeric, safe_log1p, swish, zscore_expr
 from kiln.operators.stats import skew_values
 
 
@@ -29,8 +29,8 @@ class FittedZScore:
 
 
 def fit_zscore(df: DataFrame, cols: Sequence[str]) -> FittedZScore:
-    row = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)],
-                 *[F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(cols)]).first()
+    row = df.agg(*[F.avg(numeric(c)).alias(f"m{i}") for i, c in enumerate(cols)],
+                 *[F.stddev_pop(numeric(c)).alias(f"s{i}") for i, c in enumerate(cols)]).first()
     return FittedZScore({c: row[f"m{i}"] for i, c in enumerate(cols)}, {c: row[f"s{i}"] for i, c in enumerate(cols)})
 
 
@@ -69,7 +69,7 @@ class FittedScaler:
     scales: dict
 
     def apply(self, df: DataFrame) -> DataFrame:
-        return df.withColumns({c: (F.col(c) - F.lit(self.means[c])) / F.lit(self.scales[c]) for c in self.means})
+        return df.withColumns({c: (numeric(c) - F.lit(self.means[c])) / F.lit(self.scales[c]) for c in self.means})
 
 
 def fit_standard_scaler(df: DataFrame, cols: Sequence[str]) -> FittedScaler:

@@ -76,9 +76,9 @@ def q_bin_rules(spark, sf):
 @register("bin_by_mean", "E6", """
 WITH m AS (SELECT avg(l_discount) AS mu FROM lineitem WHERE l_returnflag = 'R')
 SELECT l_orderkey, l_linenumber,
-       CASE WHEN l_discount = 0 THEN 'Zero'
-            WHEN l_discount > 0 AND l_discount < (SELECT mu FROM m) THEN 'Small'
-            WHEN l_discount >= (SELECT mu FROM m) THEN 'Big' END AS disc_bin
+       CASE WHEN l_discount = 0 THEN 'none'
+            WHEN l_discount > 0 AND l_discount < (SELECT mu FROM m) THEN 'below'
+            WHEN l_discount >= (SELECT mu FROM m) THEN 'above' END AS disc_bin
 FROM lineitem WHERE l_returnflag <> 'R'""")
 def q_bin_by_mean(spark, sf):
     li = Tables(spark, sf).lineitem.select("l_orderkey", "l_linenumber", "l_discount", "l_returnflag")

@@ -101,6 +101,15 @@ def q_normalized_returns(spark, sf):
     return r.select("event_id", F.round("ret_norm", 6).alias("ret_norm"))
 
 
+@register("normalized_returns_null", "G2", f"""
+SELECT event_id, round((ret - avg(ret) OVER (PARTITION BY u)) / (stddev_pop(ret) OVER (PARTITION BY u) + 1e-8), 6) AS ret_norm
+FROM (SELECT *, CASE WHEN user_id % 5 = 0 THEN NULL ELSE user_id END AS u FROM {_RETURNS})""")
+def q_normalized_returns_null(spark, sf):
+    r = _returns(spark, sf).withColumn("u", F.when(F.col("user_id") % 5 != 0, F.col("user_id")))
+    r = G.normalize_returns(r, "u", "ret")
+    return r.select("event_id", F.round("ret_norm", 6).alias("ret_norm"))
+
+
 @register("episode_scores", "G3", """
 SELECT user_id, round(sum(value), 4) AS score, count(*) AS steps FROM events GROUP BY 1""")
 def q_episode_scores(spark, sf):
@@ -147,7 +156,9 @@ def q_advantage(spark, sf):
     return a.select("event_id", F.round("advantage", 6).alias("advantage"))
 
 
-@register("recent_sample", "G7")
+@register("recent_sample", "G7", """
+SELECT event_id, ts, user_id, value FROM (SELECT event_id, ts, user_id, value FROM events ORDER BY ts DESC, event_id DESC LIMIT 1000)
+ORDER BY CAST('0x' || left(md5('7|' || event_id), 13) AS BIGINT), event_id LIMIT 32""")
 def q_recent_sample(spark, sf):
     ev = Tables(spark, sf).events.select("event_id", "ts", "user_id", "value")
     return G.recent_sample(ev, "ts", "event_id", last_n=1000, k=32, seed=7)

@@ -240,7 +240,7 @@ def q_reg_svr(spark, sf):
     tr = train.select("o_orderkey", "o_totalprice", *fmap.columns(ORD_X))
     te = test.select("o_orderkey", "o_totalprice", *fmap.columns(ORD_X))
     fit = gradient.dense_gd(tr, feats, F.col("o_totalprice"), gradient.np_epsilon_insensitive(0.1),
-                            l2=1e-4, steps=60, lr=5000.0)
+                            l2=1.0 / tr.count(), steps=60, lr=5000.0)
     return te.select("o_orderkey", "o_totalprice",
                      F.round(fit.margin([F.col(c) for c in feats]), 4).alias("prediction"))
 

@@ -85,11 +85,26 @@ def q_distinct_count(spark, sf):
     return A.distinct_count(Tables(spark, sf).lineitem, "l_partkey")
 
 
-def _hist_sql(where: str, by: str | None, bins: int = 30) -> str:
+# Events with a NULL kind (marked '~' inside the SQL) and every 17th value NaN, which counts as missing.
+_ODD = """(SELECT event_id, user_id, coalesce(nullif(event_type, 'click'), '~') AS kind,
+            CASE WHEN event_id % 17 = 0 THEN NULL ELSE value END AS value FROM events)"""
+
+
+def _odd_events(spark, sf):
+    return Tables(spark, sf).events.select(
+        "event_id", "user_id", F.expr("nullif(event_type, 'click')").alias("kind"),
+        F.when(F.col("event_id") % 17 == 0, F.lit(float("nan"))).otherwise(F.col("value")).alias("value"))
+
+
+def _unmarked(sql: str) -> str:
+    return f"SELECT nullif(kind, '~') AS kind, * EXCLUDE (kind) FROM ({sql})"
+
+
+def _hist_sql(where: str, by: str | None, bins: int = 30, source: str = "events") -> str:
     g = f"{by}, " if by else ""
     join = f"USING ({by})" if by else "ON true"
     return f"""
-WITH d AS (SELECT {g}value FROM events {where}),
+WITH d AS (SELECT {g}value FROM {source} {where}),
      r AS (SELECT {g}min(value) AS lo, max(value) AS hi FROM d {'GROUP BY ' + by if by else ''}),
      c AS (SELECT {g}CAST(CASE WHEN (r.hi - r.lo) > 0
                   THEN least(floor((d.value - r.lo) / ((r.hi - r.lo) / {bins})), {bins - 1}) ELSE 0 END AS INTEGER) AS bin,
@@ -114,14 +129,20 @@ def q_histogram_compare(spark, sf):
     return h.select("event_type", "bin", _r("lo").alias("lo"), _r("hi").alias("hi"), "count")
 
 
-def _box_sql(by: str | None) -> str:
+@register("histogram_odd", "A10", _unmarked(_hist_sql("WHERE value IS NOT NULL", "kind", source=_ODD)))
+def q_histogram_odd(spark, sf):
+    h = A.histogram(_odd_events(spark, sf), "value", bins=30, by="kind")
+    return h.select("kind", "bin", _r("lo").alias("lo"), _r("hi").alias("hi"), "count")
+
+
+def _box_sql(by: str | None, source: str = "events") -> str:
     g = f"{by}, " if by else ""
     gb = f"GROUP BY {by}" if by else ""
     join = f"USING ({by})" if by else "ON true"
     return f"""
 WITH q AS (SELECT {g}quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
-                  quantile_cont(value, 0.75) AS q3 FROM events {gb}),
-     j AS (SELECT {g}value, q1, q3, q3 - q1 AS iqr FROM events JOIN q {join})
+                  quantile_cont(value, 0.75) AS q3 FROM {source} {gb}),
+     j AS (SELECT {g}value, q1, q3, q3 - q1 AS iqr FROM {source} JOIN q {join} WHERE value IS NOT NULL)
 SELECT {g}round(q.q1, 6) AS q1, round(q.median, 6) AS median, round(q.q3, 6) AS q3, round(q.q3 - q.q1, 6) AS iqr,
        min(value) FILTER (WHERE value >= j.q1 - 1.5 * iqr AND value <= j.q3 + 1.5 * iqr) AS whisker_lo,
        max(value) FILTER (WHERE value >= j.q1 - 1.5 * iqr AND value <= j.q3 + 1.5 * iqr) AS whisker_hi,
@@ -145,6 +166,11 @@ def q_boxplot_by(spark, sf):
     return _box_round(A.boxplot_stats(Tables(spark, sf).events, "value", by="event_type"), ["event_type"])
 
 
+@register("boxplot_odd", "A11", _unmarked(_box_sql("kind", _ODD)))
+def q_boxplot_odd(spark, sf):
+    return _box_round(A.boxplot_stats(_odd_events(spark, sf), "value", by="kind"), ["kind"])
+
+
 @register("kde_curve", "A12", """
 WITH s AS (SELECT count(value) AS n, stddev_samp(value) * pow(count(value), -0.2) AS h,
                   min(value) AS lo, max(value) AS hi FROM events),
@@ -182,6 +208,13 @@ def q_zscore_filter(spark, sf):
     return T.zscore_filter(ev, ["value", "user_id"], threshold=3.0).select("event_id", "value")
 
 
+@register("zscore_filter_odd", "T1 A13", f"""
+WITH e AS {_ODD}, s AS (SELECT avg(value) AS m, stddev_pop(value) AS sd FROM e)
+SELECT event_id, value FROM e, s WHERE abs((value - m) / sd) < 1""")
+def q_zscore_filter_odd(spark, sf):
+    return T.zscore_filter(_odd_events(spark, sf), ["value"], threshold=1.0).select("event_id", "value")
+
+
 @register("log1p", "T2", "SELECT event_id, round(ln(1 + value), 6) AS value FROM events")
 def q_log1p(spark, sf):
     ev = Tables(spark, sf).events.select("event_id", "value")

@@ -52,8 +52,19 @@ FROM f GROUP BY 1, 2
 
 # ------------------------------------------------------------------ sources
 
-@register("csv_roundtrip", "S1 S2", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+@register("csv_roundtrip", "S1 S2", """
+SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN NULL ELSE concat(text, ', "q" ', chr(10), chr(10), 'x ') END AS text, lang, source, n_chars
+FROM documents""")
 def q_csv_roundtrip(spark, sf):
+    # Texts with line breaks, quotes, commas, outer blanks and nulls.
+    docs = Tables(spark, sf).documents.withColumn("text", F.when(
+        F.col("doc_id") % 10 != 0, F.concat("text", F.lit(', "q" \n\nx '))))
+    path = write_csv(docs, scratch_path(spark, "csv"))
+    return read_csv(spark, path, schema=docs.schema)
+
+
+@register("csv_customers", "S1 S2", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def q_csv_customers(spark, sf):
     cust = Tables(spark, sf).customer
     path = write_csv(cust, scratch_path(spark, "csv"))
     return read_csv(spark, path, schema=cust.schema)
@@ -137,11 +148,14 @@ def q_cast_double(spark, sf):
     return P.cast_all(part, ["p_partkey", "p_size"], "double")
 
 
-@register("assemble", "P11")
+@register("assemble", "P11", """
+SELECT l_orderkey, l_linenumber, CAST(l_quantity AS DOUBLE) AS f0, CAST(l_discount AS DOUBLE) AS f1,
+       CAST(l_tax AS DOUBLE) AS f2 FROM lineitem""")
 def q_assemble(spark, sf):
     li = Tables(spark, sf).lineitem
     v = P.assemble_features(li, ["l_quantity", "l_discount", "l_tax"], keep=["l_orderkey", "l_linenumber"])
-    return v.select("l_orderkey", "l_linenumber", vector_to_array("features").alias("features"))
+    f = vector_to_array("features")
+    return v.select("l_orderkey", "l_linenumber", *[f[i].alias(f"f{i}") for i in range(3)])
 
 
 @register("row_id", "P12", """

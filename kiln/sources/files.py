@@ -14,23 +14,30 @@ from kiln.session import ensure_checkpoint_dir
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
-             infer: bool = False) -> DataFrame:
-    """Header CSV; quoted fields may hold commas and doubled quotes; empty field -> NULL.
-
-    Give ``schema`` in production: inference costs an extra full pass over the files.
+             infer: bool = False, multi_line: bool = True) -> DataFrame:
+    """Header CSV; quoted fields may hold commas, doubled quotes and line breaks; an empty
+    field is NULL, a quoted empty one the empty string; NaN in a float column is NULL.
+
+    Give ``schema`` in production: inference costs an extra full pass over the files. A
+    file with line breaks inside fields cannot be split, so large tables should come as
+    many files (``write_csv`` writes one per partition); ``multi_line=False`` lets single
+    large files be split where no field holds a line break.
     """
     reader = (spark.read.option("header", True).option("quote", '"').option("escape", '"')
-              .option("mode", "FAILFAST"))
+              .option("mode", "FAILFAST").option("multiLine", multi_line))
     if schema is not None:
         reader = reader.schema(schema)
     elif infer:
         reader = reader.option("inferSchema", True)
-    return reader.csv(path)
+    df = reader.csv(path)
+    floats = [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")]
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats}) if floats else df
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Header CSV folder (one part file per partition), no index column."""
-    df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    (df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return path
 
 
