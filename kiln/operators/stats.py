@@ -7,15 +7,17 @@ exact and skew-safe (see ``quantiles``); modes use a distributed group-by.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.functions import numeric
 from kiln.operators.missing import mode_of
-from kiln.operators.positions import BROADCAST_ROWS, null_safe_join
+from kiln.operators.positions import null_safe_join
 from kiln.operators.quantiles import quantiles
 from kiln.session import spread
 
@@ -28,13 +30,12 @@ def _long(values: list[tuple], schema: str, spark) -> DataFrame:
 
 
 def attach_stats(data: DataFrame, stats: DataFrame, groups: Sequence[str]) -> DataFrame:
-    """Give every row its group's fitted statistics: a lookup join on the group key
-    (broadcast when the per-group table is small), or literals for the global case."""
+    """Give every row its group's fitted statistics: a lookup join on the group key (NULL is a
+    group too; adaptive execution broadcasts a small side), or literals for the global case."""
     if not groups:
         row = stats.first()
         return data.withColumns({c: F.lit(row[c]) for c in stats.columns})
-    small = stats.count() <= BROADCAST_ROWS
-    return null_safe_join(data, F.broadcast(stats) if small else stats, groups, "inner")
+    return null_safe_join(data, stats, groups, "inner")
 
 
 def conditional_rate(df: DataFrame, group: str | Sequence[str], flag: str, name: str = "rate") -> DataFrame:
@@ -178,8 +179,8 @@ def boxplot_stats(df: DataFrame, c: str, by: str | None = None, whisker: float =
 
 def kde_curve(df: DataFrame, c: str, grid: int = 200, cut: float = 3.0) -> DataFrame:
     """Gaussian kernel density on ``grid`` points from min - cut*h to max + cut*h,
-    Scott bandwidth h = n^(-1/5) * sample std. Each row contributes to every grid point
-    inside its own task (generate + partial aggregate), so only grid-sized partials shuffle."""
+    Scott bandwidth h = n^(-1/5) * sample std. Every task adds its rows to one grid-sized array
+    in Arrow batches and passes on that array only."""
     x = numeric(c)
     s = df.agg(F.count(x).alias("n"), F.stddev_samp(x).alias("sd"), F.min(x).alias("lo"),
                F.max(x).alias("hi")).first()
@@ -189,11 +190,17 @@ def kde_curve(df: DataFrame, c: str, grid: int = 200, cut: float = 3.0) -> DataF
     h = sd * n ** (-0.2)
     lo, hi = s["lo"] - cut * h, s["hi"] + cut * h
     step = (hi - lo) / (grid - 1)
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        points, total = lo + np.arange(grid) * step, np.zeros(grid)
+        for pdf in batches:
+            v = pdf["_x"].to_numpy()
+            for k in range(0, len(v), 4096):
+                total += np.exp(-0.5 * ((points[None, :] - v[k:k + 4096, None]) / h) ** 2).sum(0)
+        yield pd.DataFrame({"i": np.arange(grid, dtype=np.int32), "_s": total})
+
     data = spread(df.select(x.alias("_x")).filter(F.col("_x").isNotNull()))
-    pts = data.select("_x", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("i"))
-    g = F.lit(lo) + F.col("i") * F.lit(step)
-    k = F.exp(-0.5 * F.pow((g - F.col("_x")) / F.lit(h), 2))
-    dens = pts.groupBy("i").agg(F.sum(k).alias("_s"))
+    dens = data.mapInPandas(add, "i int, _s double").groupBy("i").agg(F.sum("_s").alias("_s"))
     norm = 1.0 / (n * h * (2 * 3.141592653589793) ** 0.5)
     return dens.select("i", (F.lit(lo) + F.col("i") * F.lit(step)).alias("x"), (F.col("_s") * norm).alias("density"))
 

@@ -32,6 +32,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+         .config(SPREAD_PARTITIONS, str(max(2, shuffle_partitions)))
          .config("spark.driver.memory", os.environ.get("KILN_DRIVER_MEMORY", "4g")))
     for k, v in {**DEFAULTS, **(extra or {})}.items():
         b = b.config(k, v)
@@ -116,21 +118,18 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-# Inputs up to this estimated size are spread over all cores before CPU-heavy
-# per-row work; larger inputs already come in many file splits / row groups.
-SPREAD_BYTES = 2 << 30
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the optimised plan."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+# Name of the setting for ``spread``.
+SPREAD_PARTITIONS = "kiln.spread.partitions"
 
 
 def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Repartition a small input over all cores (by ``key`` hash when given) before
-    CPU-heavy per-row work such as regex tokenising or n-gram generation. A few
-    megabytes of text in one parquet row group would otherwise run in one task."""
-    if estimated_bytes(df) > SPREAD_BYTES:
+    """Repartition before CPU-heavy per-row work such as regex tokenising, when the session asks for it.
+
+    A few megabytes of text in one Parquet row group would otherwise run in one task, so local sessions
+    set ``kiln.spread.partitions``. On a cluster it stays unset: large tables come in many splits
+    (``spark.sql.files.maxPartitionBytes``), and nothing is shuffled here.
+    """
+    n = int(df.sparkSession.conf.get(SPREAD_PARTITIONS, "0"))
+    if n <= 0:
         return df
-    n = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(n, key) if key else df.repartition(n)
