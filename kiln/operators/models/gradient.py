@@ -61,8 +61,9 @@ class FittedLinear:
 
 
 def dense_gd(df: DataFrame, x: Sequence[str], y: Column, dloss, l2: float = 1e-4, steps: int = 100,
-             lr: float = 0.1) -> FittedLinear:
-    """Minimise mean loss + l2/2 ||w||^2 with Adam on full-batch gradients.
+             lr: float = 0.1, tol: float = 1e-4) -> FittedLinear:
+    """Minimise mean loss + l2/2 ||w||^2 with Adam on full-batch gradients; stops when no coordinate
+    of the gradient exceeds ``tol``, or after ``steps``.
     ``dloss(y, margin)`` is the numpy loss derivative. Every step is one job: each
     Arrow batch returns its (d + 1)-long gradient sum, a group-by over the
     coordinate adds them up; the weights travel as a broadcast variable."""
@@ -92,6 +93,8 @@ def dense_gd(df: DataFrame, x: Sequence[str], y: Column, dloss, l2: float = 1e-4
         grad = np.zeros(d + 1)
         grad[got.k.to_numpy()] = got.g.to_numpy() / n
         grad[:d] += l2 * w
+        if np.abs(grad).max() < tol:
+            break
         mom = 0.9 * mom + 0.1 * grad
         vel = 0.999 * vel + 0.001 * grad ** 2
         step = lr * (mom / (1 - 0.9 ** t)) / (np.sqrt(vel / (1 - 0.999 ** t)) + 1e-8)

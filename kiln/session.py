@@ -119,14 +119,14 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 # Name of the setting for ``spread``.
-SPREAD_PARTITIONS = "kiln.spread.partitions"
+SPREAD_PARTITIONS = "spark.kiln.spread.partitions"
 
 
 def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     """Repartition before CPU-heavy per-row work such as regex tokenising, when the session asks for it.
 
     A few megabytes of text in one Parquet row group would otherwise run in one task, so local sessions
-    set ``kiln.spread.partitions``. On a cluster it stays unset: large tables come in many splits
+    set ``spark.kiln.spread.partitions``. On a cluster it stays unset: large tables come in many splits
     (``spark.sql.files.maxPartitionBytes``), and nothing is shuffled here.
     """
     n = int(df.sparkSession.conf.get(SPREAD_PARTITIONS, "0"))

@@ -16,7 +16,7 @@ from kiln.session import ensure_checkpoint_dir
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
              infer: bool = False, multi_line: bool = True) -> DataFrame:
     """Header CSV; quoted fields may hold commas, doubled quotes and line breaks; an empty
-    field is NULL, a quoted empty one the empty string; NaN in a float column is NULL.
+    field, quoted or not, is NULL; NaN in a float column is NULL.
 
     Give ``schema`` in production: inference costs an extra full pass over the files. A
     file with line breaks inside fields cannot be split, so large tables should come as
