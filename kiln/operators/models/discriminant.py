@@ -1,5 +1,5 @@
 """Linear discriminant analysis (M9): class means and pooled within-class covariance
-from Spark aggregates (class moments + Gram matrix), a d x d solve on the driver,
+from Spark aggregates (class moments + centred scatter), a d x d solve on the driver,
 scores as fitted linear expressions."""
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.operators.models.linear_algebra import argmax_label, class_moments, dot_lit, gram, score_argmax
+from kiln.operators.models.linear_algebra import argmax_label, class_moments, dot_lit, score_argmax, within_scatter
 from kiln.session import spread
 
 
@@ -34,9 +34,7 @@ def lda(df: DataFrame, vec: str, label: str) -> FittedLDA:
     """Shared covariance S_w / (n - K); score_k(x) = x S^-1 mu_k - mu_k S^-1 mu_k / 2 + ln pi_k."""
     classes, counts, means, _ = class_moments(df, vec, label)
     n, k = counts.sum(), len(classes)
-    g = gram(df, vec)
-    within = g - (means.T * counts) @ means
-    cov = within / max(n - k, 1)
+    cov = within_scatter(df, vec, label, classes, means) / max(n - k, 1)
     prec = np.linalg.pinv(cov)
     coef = means @ prec
     intercept = -0.5 * np.einsum("kd,kd->k", coef, means) + np.log(counts / n)

@@ -18,7 +18,7 @@ from kiln.operators.transform import fit_standard_scaler
 from kiln.plans.catalog import register
 from kiln.session import spread
 from kiln.sources import Tables, submission
-from kiln.sources.files import scratch_path
+from kiln.sources.files import load_model, save_model, scratch_path
 
 DOC_X = ["n_chars", "n_lines", "n_words", "upper_share", "digit_share", "punct_share"]
 ORD_X = ["n_lines", "qty", "disc", "tax", "max_price"]
@@ -324,11 +324,11 @@ def q_grid_search(spark, sf):
 def q_model_leaderboard(spark, sf):
     train, test = doc_split(spark, sf, scaled=True)
     fits = {
-        "Logistic Regression": lambda: mllib.logistic(train, DOC_X, "quality"),
-        "Random Forest": lambda: mllib.random_forest_classifier(train, DOC_X, "quality", n_trees=50),
-        "Decision Tree": lambda: mllib.decision_tree_classifier(train, DOC_X, "quality"),
-        "Gradient Boost": lambda: mllib.gbt_classifier(train, DOC_X, "quality", n_estimators=30),
-        "ADA Boost": lambda: boosting.adaboost_classifier(train, DOC_X, "quality", n_estimators=10),
+        "logistic": lambda: mllib.logistic(train, DOC_X, "quality"),
+        "forest": lambda: mllib.random_forest_classifier(train, DOC_X, "quality", n_trees=50),
+        "tree": lambda: mllib.decision_tree_classifier(train, DOC_X, "quality"),
+        "boosted_trees": lambda: mllib.gbt_classifier(train, DOC_X, "quality", n_estimators=30),
+        "adaboost": lambda: boosting.adaboost_classifier(train, DOC_X, "quality", n_estimators=10),
     }
     results = [(name, tuning.score(make().transform(test), "quality", "accuracy")) for name, make in fits.items()]
     return tuning.leaderboard(spark, results, "accuracy")
@@ -345,12 +345,12 @@ def q_submission(spark, sf):
 
 @register("model_roundtrip", "S4")
 def q_model_roundtrip(spark, sf):
-    from kiln.operators.models.base import load_spark_model
+    from kiln.operators.models.base import SparkModel
 
     train, test = doc_split(spark, sf, scaled=True)
     m = mllib.logistic(train, DOC_X, "quality")
-    path = m.save(scratch_path(spark, "model"))
-    again = load_spark_model(path, DOC_X, "quality", binary=True)
+    path = save_model(m.model, scratch_path(spark, "model"))
+    again = SparkModel(load_model(path), tuple(DOC_X), "quality", binary=True)
     a = m.transform(test).select("doc_id", F.col("prediction").alias("before"))
     b = again.transform(test).select("doc_id", F.col("prediction").alias("after"))
     return a.join(b, "doc_id")
