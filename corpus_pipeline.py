@@ -8,12 +8,13 @@ columns they were given, extra ones included. Null and empty texts: never toxic
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kiln.llm.bpe import bpe_digests, tokenizer_path
 from kiln.llm.common import id_bucket, ready
 from kiln.llm.decontaminate import drop_leaking
 from kiln.llm.langid import drop_undetermined, fit_prototypes
-from kiln.llm.neardup import near_duplicates
+from kiln.llm.neardup import near_duplicates, rows_not_named
 from kiln.llm.toxicity import drop_toxic, toxicity_model
 from kiln.session import staged
 from kiln.sources.tables import table
@@ -34,8 +35,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: one document (the smallest id) of each group at five words and similarity 0.8 stays."""
     ready(spark)
-    gone = near_duplicates(docs, words=5, percent=80).where("not kept").select("doc_id")
-    return docs.join(staged(gone.distinct(), "copies"), "doc_id", "left_anti").select(docs.columns)
+    gone = near_duplicates(docs, words=5, percent=80).where("not kept").select(F.col("doc_id").alias("id")).distinct()
+    return rows_not_named(docs, staged(gone, "copies"), "doc_id")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,17 +1,18 @@
 """Near-duplicate groups: banded MinHash candidates, odd-sketch verification, exact check.
 
 1. One pass over the texts: distinct shingles, a digest of the whole set, MinHash samples folded
-   into band keys, and the odd sketch: every sample flips one bit of a parity bitmap, so the bits in
+   into band keys, and odd sketches: every sample flips one bit of a parity bitmap, so the bits in
    which two sketches differ count the samples that differ, which gives the similarity closely when
-   it is high.
+   it is high. A wider bitmap is folded from the whole set: in it two sets differ in no more bits than
+   in shingles, so it rules pairs out without any error.
 2. Texts with the same set are one node (its smallest id); only nodes go on.
 3. Nodes that share a band key are candidates. The smallest node of a band leads: every other one is
    a candidate pair with it. Pairs whose sizes or sketches rule out the threshold (by more than six
    standard errors) go, the rest are compared on their full sets, and the links are joined into
    components.
 4. What remains are candidates that share a band, lie in different components and do not lead. They
-   are compared by sketch in blocks of bounded size, members of the band's largest component only
-   with the others, and again only pairs that the sketch admits are written and compared in full.
+   are compared by both sketches in blocks of bounded size, members of the band's largest component
+   only with the others, and again only pairs that the sketches admit are written and compared in full.
 
 So no band is ever expanded into all its pairs, no candidate is dropped, and every link between
 candidates is found or lies within a component already. With 24 bands of 5 samples a pair at
@@ -36,7 +37,9 @@ from kiln.session import staged
 
 BAND_ROWS = 5
 SKETCH_BITS = 512
+SET_BITS = 2048
 BLOCK = 512
+BITMAP_BITS = 1 << 26
 SHINGLE_CHUNK = 1 << 14
 
 
@@ -53,8 +56,14 @@ def sketch_limit(percent: int, samples: int) -> int:
     return math.ceil(SKETCH_BITS / 2 * (1 - math.exp(-2 * flips / SKETCH_BITS)) + 10)
 
 
-def signature(s: np.ndarray, bands: int) -> tuple[np.ndarray, np.ndarray]:
-    """(band keys, odd sketch as words) of a non-empty shingle set."""
+def odd_sketch(keys: np.ndarray, bits: int) -> np.ndarray:
+    """Parity bitmap of hashed keys, as 64-bit words."""
+    at = (keys % np.uint64(bits)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).view(np.int64)
+
+
+def signature(s: np.ndarray, bands: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(band keys, odd sketch of the samples, odd sketch of the set) of a non-empty shingle set."""
     k = bands * BAND_ROWS
     a = mix64(np.arange(1, k + 1, dtype=np.uint64)) | np.uint64(1)
     b = mix64(np.arange(k + 1, 2 * k + 1, dtype=np.uint64))
@@ -65,33 +74,34 @@ def signature(s: np.ndarray, bands: int) -> tuple[np.ndarray, np.ndarray]:
     keys = np.arange(bands, dtype=np.uint64)
     for j in range(BAND_ROWS):
         keys = mix64(keys + rows[:, j])
-    at = (mix64(least + a) % np.uint64(SKETCH_BITS)).astype(np.int64)
-    parity = (np.bincount(at, minlength=SKETCH_BITS) & 1).astype(np.uint8)
-    return keys.view(np.int64), np.packbits(parity).view(np.int64)
+    return keys.view(np.int64), odd_sketch(mix64(least + a), SKETCH_BITS), odd_sketch(mix64(s), SET_BITS)
 
 
 def signatures(docs: DataFrame, words: int, bands: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, digest, bands, sketch); the last three are null for a text without words."""
+    """(doc_id, n_shingles, digest, bands, sketch, parity); the last four are null for a text without words."""
     ready(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n, digest, keys, sketch = [], [], [], []
+            n, digest, keys, sketch, parity = [], [], [], [], []
             for t in texts_of(b, "text"):
                 s = shingle_set(t, words)
                 n.append(len(s))
-                k, o = signature(s, bands) if len(s) else (None, None)
+                k, o, w = signature(s, bands) if len(s) else (None, None, None)
                 digest.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 keys.append(k)
                 sketch.append(o)
+                parity.append(w)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
-                 pa.array(keys, pa.list_(pa.int64())), pa.array(sketch, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "digest", "bands", "sketch"])
+                 pa.array(keys, pa.list_(pa.int64())), pa.array(sketch, pa.list_(pa.int64())),
+                 pa.array(parity, pa.list_(pa.int64()))],
+                ["doc_id", "n_shingles", "digest", "bands", "sketch", "parity"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(
-        run, "doc_id long, n_shingles long, digest binary, bands array<bigint>, sketch array<bigint>")
+        run, "doc_id long, n_shingles long, digest binary, bands array<bigint>, sketch array<bigint>, "
+             "parity array<bigint>")
 
 
 def _differing(x: str, y: str):
@@ -100,12 +110,42 @@ def _differing(x: str, y: str):
     return F.expr(" + ".join(words))
 
 
+def _with_hint(rows: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """``rows`` with ``_kiln_maybe``: false only where ``id_col`` is not among the column ``id`` of ``ids``.
+
+    The hint comes from a bitmap of the hashed ids, ``BITMAP_BITS`` long whatever the data, which is broadcast.
+    """
+    def place(c):
+        return F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(BITMAP_BITS))
+
+    maps = (ids.select(place("id").alias("_kiln_p")).groupBy(F.bitmap_bucket_number("_kiln_p").alias("_kiln_bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_kiln_p")).alias("_kiln_bits")))
+    bit = ("shiftright(cast(conv(hex(substring(_kiln_bits, bitmap_bit_position(_kiln_place) div 8 + 1, 1)), 16, 10) AS int), "
+           "cast(bitmap_bit_position(_kiln_place) % 8 AS int)) & 1 = 1")
+    return (rows.withColumn("_kiln_place", place(id_col)).withColumn("_kiln_at", F.bitmap_bucket_number("_kiln_place"))
+            .join(F.broadcast(staged(maps, "bitmap")), F.col("_kiln_at") == F.col("_kiln_bucket"), "left")
+            .select(*[rows[c] for c in rows.columns], F.coalesce(F.expr(bit), F.lit(False)).alias("_kiln_maybe")))
+
+
+def rows_named(rows: DataFrame, ids: DataFrame, id_col: str = "id") -> DataFrame:
+    """The rows whose ``id_col`` is among ``ids``; few others are shuffled for the join that decides."""
+    hinted = _with_hint(rows, ids, id_col).where("_kiln_maybe").drop("_kiln_maybe")
+    return hinted.join(ids.select(F.col("id").alias("_kiln_id")), F.col(id_col) == F.col("_kiln_id"), "left_semi")
+
+
+def rows_not_named(rows: DataFrame, ids: DataFrame, id_col: str = "id") -> DataFrame:
+    """The rows whose ``id_col`` is null or not among ``ids``; most pass without a shuffle."""
+    hinted = _with_hint(rows, ids, id_col)
+    other = hinted.where("_kiln_maybe").join(ids.select(F.col("id").alias("_kiln_id")), F.col(id_col) == F.col("_kiln_id"), "left_anti")
+    return hinted.where("not _kiln_maybe").unionByName(other).drop("_kiln_maybe")
+
+
 def verify(pairs: DataFrame, docs: DataFrame, words: int, percent: int, id_col: str, text: str) -> DataFrame:
     """The (a, b) whose full shingle sets reach the threshold."""
     pairs = staged(pairs, "pairs")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = staged(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("t"))
-                   .join(ids, "id", "left_semi"), "pair-texts")
+    texts = staged(rows_named(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("t")),
+                              staged(ids, "pair-ids")), "pair-texts")
     rows = (pairs.join(texts.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b")
             .join(texts.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a").select("a", "b", "ta", "tb"))
 
@@ -128,10 +168,9 @@ def verify(pairs: DataFrame, docs: DataFrame, words: int, percent: int, id_col:
 
 
 def _remaining_pairs(members: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int, limit: int) -> DataFrame:
-    """Pairs of non-leading members of a band in different components that size and sketch admit."""
-    owner = nodes.select("rep", "n", "sketch").join(labels, F.col("rep") == F.col("node"), "left").select(
-        "rep", "n", "sketch", F.coalesce("component", "rep").alias("comp"))
-    owner = staged(owner, "owners")
+    """Pairs of non-leading members of a band in different components that size and sketches admit."""
+    owner = staged(nodes.select("rep").join(labels, F.col("rep") == F.col("node"), "left")
+                   .select("rep", F.coalesce("component", "rep").alias("comp")), "owners")
     # Leading nodes are resolved; a band needs two more members in different components.
     mine = staged(members.where("rep <> leader").join(owner.select("rep", "comp"), "rep"), "followers")
     sizes = mine.groupBy("band", "comp").agg(F.count("*").alias("c"))
@@ -148,9 +187,10 @@ def _remaining_pairs(members: DataFrame, nodes: DataFrame, labels: DataFrame, pe
         ELSE concat(transform(sequence(0L, p - 1), j -> struct(j AS x, i AS y, 1 AS kind)),
                     transform(sequence(0L, q - 1), j -> struct(least(i, j) AS x, greatest(i, j) AS y, 0 AS kind))) END""")
     rows = (rows.select("band", "rep", "comp", "inner", "i", F.explode(meet).alias("m"))
-            .select("band", "m.*", "rep", "comp", "inner", "i").join(owner.select("rep", "n", "sketch"), "rep"))
+            .select("band", "m.*", "rep", "comp", "inner", "i").join(nodes.select("rep", "n", "sketch", "parity"), "rep"))
     keys = ["band", "x", "y", "kind"]
-    rows = rows.repartition(*keys).sortWithinPartitions(*keys).select(*keys, "rep", "comp", "n", "inner", "i", "sketch")
+    rows = rows.repartition(*keys).sortWithinPartitions(*keys).select(
+        *keys, "rep", "comp", "n", "inner", "i", "sketch", "parity")
 
     def pairs_of(g: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         if g["kind"][0] == 1:
@@ -164,11 +204,14 @@ def _remaining_pairs(members: DataFrame, nodes: DataFrame, labels: DataFrame, pe
             ok = (g["comp"][part][:, None] != g["comp"][right][None, :]) & (
                 100 * np.minimum(n1, n2) >= percent * np.maximum(n1, n2))
             u, v = np.nonzero(ok)
-            if len(u):
-                differ = np.bitwise_count(g["sketch"][part[u]] ^ g["sketch"][right[v]]).sum(1)
-                near = differ <= limit
-                found_a.append(g["rep"][part[u[near]]])
-                found_b.append(g["rep"][right[v[near]]])
+            x, y = part[u], right[v]
+            near = np.bitwise_count(g["sketch"][x] ^ g["sketch"][y]).sum(1) <= limit
+            x, y = x[near], y[near]
+            # Two sets at the threshold differ in this many shingles at most, and their bitmaps in no more bits.
+            most = (100 - percent) * (g["n"][x] + g["n"][y]) / (100 + percent)
+            near = np.bitwise_count(g["parity"][x] ^ g["parity"][y]).sum(1) <= most
+            found_a.append(g["rep"][x[near]])
+            found_b.append(g["rep"][y[near]])
         none = np.empty(0, np.int64)
         return np.concatenate(found_a or [none]), np.concatenate(found_b or [none])
 
@@ -183,8 +226,10 @@ def _remaining_pairs(members: DataFrame, nodes: DataFrame, labels: DataFrame, pe
         for batch in batches:
             if not batch.num_rows:
                 continue
-            cols = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in batch.schema.names if c != "sketch"}
-            cols["sketch"] = batch.column("sketch").flatten().to_numpy().reshape(batch.num_rows, -1).view(np.uint64)
+            cols = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in batch.schema.names
+                    if c not in ("sketch", "parity")}
+            for c in ("sketch", "parity"):
+                cols[c] = batch.column(c).flatten().to_numpy().reshape(batch.num_rows, -1).view(np.uint64)
             new = np.zeros(batch.num_rows, bool)
             for c in keys:
                 v = cols[c]
@@ -217,7 +262,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     sets = staged(sigs.where("digest is not null and doc_id is not null").groupBy("digest")
                   .agg(F.min("doc_id").alias("rep")), "sets")
     nodes = staged(sigs.join(sets, (sigs.doc_id == sets.rep) & (sigs.digest == sets.digest))
-                   .select("rep", F.col("n_shingles").alias("n"), "bands", "sketch").dropDuplicates(["rep"]), "nodes")
+                   .select("rep", F.col("n_shingles").alias("n"), "bands", "sketch", "parity").dropDuplicates(["rep"]), "nodes")
     keyed = nodes.select("rep", F.explode("bands").alias("band"))
     lead = staged(keyed.groupBy("band").agg(F.min("rep").alias("leader"), F.count("*").alias("c"))
                   .where("c > 1").select("band", "leader"), "leaders")

@@ -81,11 +81,12 @@ def test_sketches_tell_high_similarities():
             other[r.randrange(300)] = "y%d" % r.randrange(10**6)
         a, b = shingle_set(" ".join(words), 3), shingle_set(" ".join(other), 3)
         similar = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
-        _, x = signature(a, 24)
-        _, y = signature(b, 24)
+        _, x, v = signature(a, 24)
+        _, y, w = signature(b, 24)
         differ = int(np.bitwise_count((x ^ y).view(np.uint64)).sum())
         assert similar < 0.85 or differ <= limit
-    _, y = signature(shingle_set(" ".join("z%d" % i for i in range(300)), 3), 24)
+        assert int(np.bitwise_count((v ^ w).view(np.uint64)).sum()) <= len(np.setxor1d(a, b))
+    _, y, w = signature(shingle_set(" ".join("z%d" % i for i in range(300)), 3), 24)
     assert int(np.bitwise_count((x ^ y).view(np.uint64)).sum()) > limit
 
 
