@@ -44,8 +44,27 @@ SALT = 32
 END = np.uint64(xxhash.xxh64_intdigest(b" "))
 
 
+def to_planes(x: np.ndarray) -> bytes:
+    """Whole numbers as byte planes: small numbers leave planes of zeros, which compress to nothing."""
+    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def from_planes(x: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
+def wide_to_planes(x: np.ndarray) -> bytes:
+    """As ``to_planes`` for numbers of up to 64 bits."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def wide_from_planes(x: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(8, -1).T).view("<u8").ravel().astype(np.int64)
+
+
 def pack_blocks(docs: DataFrame) -> DataFrame:
-    """Blocks of (doc_id, held_out, text) rows: ids, flags, token numbers, distinct words, codes, training counts."""
+    """Blocks of (doc_id, held_out, text) rows: ids, flags, token numbers, distinct words by falling frequency,
+    each token's place among them, training counts, training tokens."""
     ready(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,11 +78,12 @@ def pack_blocks(docs: DataFrame) -> DataFrame:
 
         def packed():
             words, codes = np.unique(np.concatenate(hashes), return_inverse=True)
+            order = np.argsort(-np.bincount(codes), kind="stable")
+            words, codes = words[order], np.argsort(order)[codes]
             trains = np.repeat(~np.array(held, bool), n)
             counts = np.bincount(codes[trains], minlength=len(words))
             row = [[block], [ids], [np.array(held, np.uint8).tobytes()], [np.array(n, np.int32).tobytes()],
-                   [words.tobytes()], [codes.astype(np.uint16 if len(words) <= 1 << 16 else np.uint32).tobytes()],
-                   [counts.astype(np.int32).tobytes()], [int(trains.sum())]]
+                   [words.tobytes()], [to_planes(codes)], [to_planes(counts)], [int(trains.sum())]]
             types = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 5, pa.int64()]
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(row, types)],
@@ -98,26 +118,28 @@ def add_totals(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for block, w, c in zip(*(b.column(k).to_pylist() for k in ("block", "words", "counts"))):
-                words, counts = np.frombuffer(w, np.uint64), np.frombuffer(c, np.int32)
+                words, counts = np.frombuffer(w, np.uint64), from_planes(c)
+                order = np.argsort(words)
+                words, counts = words[order], counts[order]
                 cut = np.searchsorted((words >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32), np.arange(buckets + 1))
                 some = np.flatnonzero(np.diff(cut))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(some, pa.int32()), pa.array([block] * len(some), pa.int64()),
                      pa.array([words[cut[k]:cut[k + 1]].tobytes() for k in some], pa.binary()),
-                     pa.array([counts[cut[k]:cut[k + 1]].tobytes() for k in some], pa.binary())],
+                     pa.array([to_planes(counts[cut[k]:cut[k + 1]]) for k in some], pa.binary())],
                     ["bucket", "block", "words", "counts"])
 
     def total(pdf):
         import pandas as pd
         words = [np.frombuffer(w, np.uint64) for w in pdf["words"]]
-        counts = np.concatenate([np.frombuffer(c, np.int32) for c in pdf["counts"]])
+        counts = np.concatenate([from_planes(c) for c in pdf["counts"]])
         known, at = np.unique(np.concatenate(words), return_inverse=True)
         totals = np.bincount(at, counts, len(known)).astype(np.int64)
         each = np.split(totals[at], np.cumsum([len(w) for w in words])[:-1])
         top = np.lexsort((known, -totals))[:FREQUENT]
         top = top[totals[top] > 0]
         out = pd.DataFrame({"block": pdf["block"].to_numpy(), "bucket": pdf["bucket"].to_numpy(),
-                            "totals": [t.tobytes() for t in each]})
+                            "totals": [wide_to_planes(t) for t in each]})
         out["top"] = [top_list if i == 0 else None for i, top_list in
                       enumerate([known[top].view(np.int64).tolist()] + [None] * (len(out) - 1))]
         out["top_counts"] = [totals[top].tolist() if i == 0 else None for i in range(len(out))]
@@ -132,11 +154,9 @@ def add_totals(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows, tops
 
 
-def _block_arrays(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(held, tokens per text, word hashes, codes) of a block row."""
-    words = np.frombuffer(row["words"], np.uint64)
-    codes = np.frombuffer(row["codes"], np.uint16 if len(words) <= 1 << 16 else np.uint32)
-    return np.frombuffer(row["held"], np.uint8).astype(bool), np.frombuffer(row["n"], np.int32), words, codes
+def _block_arrays(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(held, tokens per text, codes) of a block row."""
+    return np.frombuffer(row["held"], np.uint8).astype(bool), np.frombuffer(row["n"], np.int32), from_planes(row["codes"])
 
 
 def _pairs_before(n: np.ndarray, codes: np.ndarray, end: int) -> np.ndarray:
@@ -272,13 +292,11 @@ class ClassModel:
         self.transition = (g + TRANSITION_PRIOR * prior) / (g.sum(1, keepdims=True) + TRANSITION_PRIOR)
         self.mass = mass
 
-    def scores(self, words: np.ndarray, totals: np.ndarray, codes: np.ndarray, n: np.ndarray):
-        """(known tokens, base score, class score) of the texts of a block."""
-        cls = self.classes(words, totals)
+    def scores(self, cls: np.ndarray, totals: np.ndarray, codes: np.ndarray, n: np.ndarray, end: int):
+        """(known tokens, base score, class score) of the texts of a block; cls, totals: of its distinct words."""
         share = totals / np.maximum(self.mass[cls] + (self.mass[-1] if self.size else 0) * (cls == self.end + 1), 1)
         share = np.where(totals > 0, share, 1 / (self.vocabulary + 1))
         base = (totals + 1) / (self.tokens + self.vocabulary + 1)
-        end = int(np.searchsorted(words, END))
         before = cls[_pairs_before(n, codes, end)]
         p = WEIGHT * self.transition[before, cls[codes]] * share[codes] + (1 - WEIGHT) * base[codes]
         text = np.repeat(np.arange(len(n)), n)
@@ -303,40 +321,54 @@ def brown_scores(docs: DataFrame) -> DataFrame:
     size = len(frequent) + 1
 
     def frequent_pairs(row):
-        held, n, words, codes = _block_arrays(row)
+        held, n, codes = _block_arrays(row)
+        words = np.frombuffer(row["words"], np.uint64)
         at = np.minimum(np.searchsorted(frequent, words), max(size - 2, 0))
         number = np.where(frequent[at] == words, at, size - 1) if size > 1 else np.zeros(len(words), np.int64)
-        before = _pairs_before(n, codes, int(np.searchsorted(words, END)))
+        before = _pairs_before(n, codes, int(np.flatnonzero(words == END)[0]))
         train = np.repeat(~held, n)
         return number[before[train]], number[codes[train]]
 
-    columns = ["block", "held", "n", "words", "codes"]
-    of = exchange_classes(_sum_matrix(blocks.select(*columns), size, frequent_pairs), CLASSES)
+    of = exchange_classes(_sum_matrix(blocks.select("held", "n", "words", "codes"), size, frequent_pairs), CLASSES)
     model = ClassModel(frequent, of[:-1], tokens, vocabulary)
 
     # Each block with the totals of its words, in bucket order: as many small values as the block has buckets.
     back = totals.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("bucket", "totals"))).alias("totals"))
-    full = staged(blocks.drop("counts", "train").join(back, "block"), "counted-blocks")
 
-    def totals_of(row):
-        return np.concatenate([np.frombuffer(t["totals"], np.int64) for t in row["totals"]])
+    def classified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # From here on classes stand for the words.
+        for b in batches:
+            for row in b.to_pylist():
+                words = np.frombuffer(row["words"], np.uint64)
+                counted = np.empty(len(words), np.int64)
+                counted[np.argsort(words)] = np.concatenate([wide_from_planes(t["totals"]) for t in row["totals"]])
+                new = [[row["ids"]], [row["held"]], [row["n"]], [row["codes"]], [wide_to_planes(counted)],
+                       [model.classes(words, counted).astype(np.uint8).tobytes()], [int(np.flatnonzero(words == END)[0])]]
+                types = [pa.list_(pa.int64()), *[pa.binary()] * 5, pa.int32()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(new, types)],
+                                                 ["ids", "held", "n", "codes", "totals", "classes", "end_code"])
+
+    full = staged(blocks.drop("counts", "train").join(back, "block").mapInArrow(
+        classified, "ids array<bigint>, held binary, n binary, codes binary, totals binary, classes binary, end_code int"),
+        "classified-blocks")
 
     def class_pairs(row):
-        held, n, words, codes = _block_arrays(row)
-        cls = model.classes(words, totals_of(row))
-        before = _pairs_before(n, codes, int(np.searchsorted(words, END)))
+        held, n, codes = _block_arrays(row)
+        cls = np.frombuffer(row["classes"], np.uint8).astype(np.int64)
+        before = _pairs_before(n, codes, row["end_code"])
         train = np.repeat(~held, n)
         return cls[before[train]], cls[codes[train]]
 
-    g = _sum_matrix(full.select(*columns, "totals"), model.size, class_pairs)
+    g = _sum_matrix(full.select("held", "n", "codes", "classes", "end_code"), model.size, class_pairs)
     model.finish(g, g.sum(0))
     shared = spark.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in b.to_pylist():
-                held, n, words, codes = _block_arrays(row)
-                known, base, s = shared.value.scores(words, totals_of(row), codes, n)
+                held, n, codes = _block_arrays(row)
+                known, base, s = shared.value.scores(np.frombuffer(row["classes"], np.uint8).astype(np.int64),
+                                                     wide_from_planes(row["totals"]), codes, n, row["end_code"])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(row["ids"], pa.int64()), pa.array(held), pa.array(n, pa.int64()), pa.array(known),
                      pa.array([tokens] * len(n), pa.int64()), pa.array(base), pa.array(s)],
