@@ -62,6 +62,12 @@ def wide_from_planes(x: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(8, -1).T).view("<u8").ravel().astype(np.int64)
 
 
+def each_row(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows of a batch one at a time: block rows are large, so no more than one is copied."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 def pack_blocks(docs: DataFrame) -> DataFrame:
     """Blocks of (doc_id, held_out, text) rows: ids, flags, token numbers, distinct words by falling frequency,
     each token's place among them, training counts, training tokens."""
@@ -117,8 +123,8 @@ def add_totals(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for block, w, c in zip(*(b.column(k).to_pylist() for k in ("block", "words", "counts"))):
-                words, counts = np.frombuffer(w, np.uint64), from_planes(c)
+            for row in each_row(b):
+                block, words, counts = row["block"], np.frombuffer(row["words"], np.uint64), from_planes(row["counts"])
                 order = np.argsort(words)
                 words, counts = words[order], counts[order]
                 cut = np.searchsorted((words >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32), np.arange(buckets + 1))
@@ -174,7 +180,7 @@ def _sum_matrix(blocks: DataFrame, size: int, cells) -> np.ndarray:
         from pyspark import TaskContext
         m = np.zeros(size * size, np.int64)
         for b in batches:
-            for row in b.to_pylist():
+            for row in each_row(b):
                 i, j = cells(row)
                 m += np.bincount(i * size + j, minlength=size * size)
         m = m.reshape(size, size)
@@ -338,7 +344,7 @@ def brown_scores(docs: DataFrame) -> DataFrame:
     def classified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # From here on classes stand for the words.
         for b in batches:
-            for row in b.to_pylist():
+            for row in each_row(b):
                 words = np.frombuffer(row["words"], np.uint64)
                 counted = np.empty(len(words), np.int64)
                 counted[np.argsort(words)] = np.concatenate([wide_from_planes(t["totals"]) for t in row["totals"]])
@@ -365,7 +371,7 @@ def brown_scores(docs: DataFrame) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for row in b.to_pylist():
+            for row in each_row(b):
                 held, n, codes = _block_arrays(row)
                 known, base, s = shared.value.scores(np.frombuffer(row["classes"], np.uint8).astype(np.int64),
                                                      wide_from_planes(row["totals"]), codes, n, row["end_code"])
