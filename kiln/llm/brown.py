@@ -2,23 +2,25 @@
 
 Model. The ``FREQUENT`` most frequent training words are clustered by the exchange algorithm: words
 move one by one to the class that most increases the likelihood of a class bigram model, until
-passes change little. The end of a text is a class of its own. All other words form open classes by
-frequency (one per power of two), and words never seen a further one. A token's probability is
+passes change little. Every other word that is met twice or more in training moves, in one round over
+all of them, to the class with the largest exchange gain given the classes of the frequent words. The
+end of a text, words met once, and words never seen are classes of their own. A token's probability is
 
     0.9 * P(class | class before) * P(word | class) + 0.1 * add-one unigram,
 
 class transitions smoothed towards the class frequencies; P(word | class) is the word's share of its
 class, and 1 / (V + 1) for an unseen word. Half of the mass of words seen once goes to unseen ones.
 
-Job. Texts are packed into blocks (distinct word hashes, token codes). Each block sends its
-distinct words with their training counts to hash buckets, a bucket adds them up and sends the
-totals back, so that every distinct word of a block is shuffled once each way and no task or
-broadcast holds the vocabulary. Only the frequent words' bigram counts, a bounded matrix, and class
-totals reach the driver.
+Job. Texts are packed into blocks (distinct word hashes, token codes). Each block sends its training
+words with their counts to hash buckets, which name the frequent words. After these are clustered, each
+block sends all its distinct words again, with the counts of the classes before and after them; a bucket
+adds them up, chooses the classes, and sends totals and classes back, so that no task or broadcast holds
+the vocabulary. Only the frequent words' bigram counts, a bounded matrix, and class totals reach the driver.
 """
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,14 +34,20 @@ from kiln.llm.shingles import split_words, word_hashes
 from kiln.session import staged
 
 BLOCK_CHARS = 8_000_000
+# Bytes of block rows handed to Python at a time.
+BATCH_BYTES = 16 << 20
 # Blocks whose words one bucket adds up: sets the number of buckets, so a bucket's size stays the same.
 BUCKET_BLOCKS = 16
 LEAST_BUCKETS = 64
 FREQUENT, CLASSES, PASSES = 1024, 48, 6
-BANDS = 48
 WEIGHT = 0.9
 TRANSITION_PRIOR = 5.0
 SALT = 32
+# Slots of a word's context: the class after it, the class before it, and the word itself after itself.
+SLOTS = 2 * CLASSES + 1
+# Context counts a bucket adds up at a time, and words whose gains are compared at a time.
+CONTEXTS_AT_ONCE, WORDS_AT_ONCE = 1_000_000, 1024
+UNCLUSTERED = 255
 # The end of a text as a token; no word holds a blank.
 END = np.uint64(xxhash.xxh64_intdigest(b" "))
 
@@ -62,10 +70,19 @@ def wide_from_planes(x: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(8, -1).T).view("<u8").ravel().astype(np.int64)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on between stages and would keep their peaks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def each_row(batch: pa.RecordBatch) -> Iterator[dict]:
     """The rows of a batch one at a time: block rows are large, so no more than one is copied."""
     for i in range(batch.num_rows):
         yield batch.slice(i, 1).to_pylist()[0]
+        give_back()
 
 
 def pack_blocks(docs: DataFrame) -> DataFrame:
@@ -111,53 +128,113 @@ def pack_blocks(docs: DataFrame) -> DataFrame:
                     ids, held, n, hashes = [], [], [], []
         if ids:
             yield packed()
+        ids, held, n, hashes = [], [], [], []
+        give_back()
 
     return docs.mapInArrow(run, "block long, ids array<bigint>, held binary, n binary, words binary, codes binary, "
                                 "counts binary, train long")
 
 
-def add_totals(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(block, bucket, totals): training counts of each block's words by bucket; and (word, count) of each
-    bucket's most frequent words with the bucket's number of training words as ``vocabulary``."""
-    buckets = max(LEAST_BUCKETS, -(-blocks.count() // BUCKET_BLOCKS))
+def _bucket_cuts(words: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each bucket's words begin among sorted ones."""
+    return np.searchsorted((words >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32), np.arange(buckets + 1))
+
+
+def most_frequent(blocks: DataFrame, buckets: int) -> np.ndarray:
+    """Sorted hashes of the ``FREQUENT`` most frequent training words."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row in each_row(b):
+                words, counts = np.frombuffer(row["words"], np.uint64), from_planes(row["counts"])
+                words, counts = words[counts > 0], counts[counts > 0]
+                order = np.argsort(words)
+                words, counts = words[order], counts[order]
+                cut = _bucket_cuts(words, buckets)
+                some = np.flatnonzero(np.diff(cut))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(some, pa.int32()),
+                     pa.array([words[cut[k]:cut[k + 1]].tobytes() for k in some], pa.binary()),
+                     pa.array([to_planes(counts[cut[k]:cut[k + 1]]) for k in some], pa.binary())],
+                    ["bucket", "words", "counts"])
+
+    def top(pdf):
+        import pandas as pd
+        known, at = np.unique(np.concatenate([np.frombuffer(w, np.uint64) for w in pdf["words"]]), return_inverse=True)
+        totals = np.bincount(at, np.concatenate([from_planes(c) for c in pdf["counts"]]), len(known)).astype(np.int64)
+        first = np.lexsort((known, -totals))[:FREQUENT]
+        return pd.DataFrame({"word": known[first].view(np.int64), "count": totals[first]})
+
+    tops = (blocks.select("words", "counts").mapInArrow(split, "bucket int, words binary, counts binary")
+            .groupBy("bucket").applyInPandas(top, "word long, count long"))
+    chosen = [r["word"] for r in tops.orderBy(F.desc("count"), "word").limit(FREQUENT).collect()]
+    return np.sort(np.array(chosen, np.int64).view(np.uint64))
+
+
+def add_totals(blocks: DataFrame, buckets: int, frequent: np.ndarray, of: np.ndarray, g: np.ndarray) -> DataFrame:
+    """(block, bucket, totals, classes, vocabulary): training counts and classes of each block's words by
+    bucket, and the bucket's number of training words on one of its rows.
+
+    of: classes of the ``frequent`` words and, at the end, of all others together; g: bigram counts of these classes.
+    """
+    rest = int(of[-1])
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in each_row(b):
                 block, words, counts = row["block"], np.frombuffer(row["words"], np.uint64), from_planes(row["counts"])
                 order = np.argsort(words)
+                key, times = word_contexts(row, order, frequent, of)
                 words, counts = words[order], counts[order]
-                cut = np.searchsorted((words >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32), np.arange(buckets + 1))
+                each = np.bincount(key // SLOTS, minlength=len(words)).astype(np.uint8)
+                slot = (key % SLOTS).astype(np.uint8)
+                cut = _bucket_cuts(words, buckets)
+                at = np.searchsorted(key, cut * SLOTS)
                 some = np.flatnonzero(np.diff(cut))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(some, pa.int32()), pa.array([block] * len(some), pa.int64()),
                      pa.array([words[cut[k]:cut[k + 1]].tobytes() for k in some], pa.binary()),
-                     pa.array([to_planes(counts[cut[k]:cut[k + 1]]) for k in some], pa.binary())],
-                    ["bucket", "block", "words", "counts"])
+                     pa.array([to_planes(counts[cut[k]:cut[k + 1]]) for k in some], pa.binary()),
+                     pa.array([each[cut[k]:cut[k + 1]].tobytes() for k in some], pa.binary()),
+                     pa.array([slot[at[k]:at[k + 1]].tobytes() for k in some], pa.binary()),
+                     pa.array([to_planes(times[at[k]:at[k + 1]]) for k in some], pa.binary())],
+                    ["bucket", "block", "words", "counts", "each", "slots", "times"])
 
     def total(pdf):
         import pandas as pd
         words = [np.frombuffer(w, np.uint64) for w in pdf["words"]]
-        counts = np.concatenate([from_planes(c) for c in pdf["counts"]])
         known, at = np.unique(np.concatenate(words), return_inverse=True)
-        totals = np.bincount(at, counts, len(known)).astype(np.int64)
-        each = np.split(totals[at], np.cumsum([len(w) for w in words])[:-1])
-        top = np.lexsort((known, -totals))[:FREQUENT]
-        top = top[totals[top] > 0]
-        out = pd.DataFrame({"block": pdf["block"].to_numpy(), "bucket": pdf["bucket"].to_numpy(),
-                            "totals": [wide_to_planes(t) for t in each]})
-        out["top"] = [top_list if i == 0 else None for i, top_list in
-                      enumerate([known[top].view(np.int64).tolist()] + [None] * (len(out) - 1))]
-        out["top_counts"] = [totals[top].tolist() if i == 0 else None for i in range(len(out))]
-        out["vocabulary"] = [int((totals > 0).sum()) if i == 0 else 0 for i in range(len(out))]
-        return out
-
-    rows = staged(blocks.select("block", "words", "counts").mapInArrow(
-        split, "bucket int, block long, words binary, counts binary").groupBy("bucket").applyInPandas(
-        total, "block long, bucket int, totals binary, top array<bigint>, top_counts array<bigint>, vocabulary long"), "totals")
-    tops = rows.where("top is not null").select(F.explode(F.arrays_zip("top", "top_counts")).alias("t")).select(
-        F.col("t.top").alias("word"), F.col("t.top_counts").alias("count"))
-    return rows, tops
+        totals = np.bincount(at, np.concatenate([from_planes(c) for c in pdf["counts"]]), len(known)).astype(np.int64)
+        ends = np.cumsum([len(w) for w in words])
+        at = np.split(at, ends[:-1])
+        each = [np.frombuffer(e, np.uint8) for e in pdf["each"]]
+        first = [np.append(0, np.cumsum(e, dtype=np.int64)) for e in each]
+        slots = [np.frombuffer(x, np.uint8) for x in pdf["slots"]]
+        parts = max(1, -(-sum(map(len, slots)) // CONTEXTS_AT_ONCE))
+        classes = np.full(len(known), UNCLUSTERED, np.uint8)
+        times = pdf["times"].tolist()
+        for lo, hi in zip(*(lambda c: (c[:-1], c[1:]))(len(known) * np.arange(parts + 1) // parts)):
+            keys, values = [], []
+            for a, e, f, x, t in zip(at, each, first, slots, times):
+                i, j = np.searchsorted(a, (lo, hi))
+                keys.append(np.repeat(a[i:j] * SLOTS, e[i:j]) + x[f[i]:f[j]])
+                values.append(np.frombuffer(t, np.uint8).reshape(4, -1)[:, f[i]:f[j]].T.copy().view("<u4").ravel())
+            key, same = np.unique(np.concatenate(keys), return_inverse=True)
+            value = np.bincount(same, np.concatenate(values), len(key))
+            word, slot = key // SLOTS, key % SLOTS
+            often = totals[word] > 1
+            members, number = np.unique(word[often], return_inverse=True)
+            classes[members] = best_classes(number, slot[often], value[often], g, rest)
+        del keys, values, key, same, value, word, slot
+        give_back()
+        return pd.DataFrame({"block": pdf["block"].to_numpy(), "bucket": pdf["bucket"].to_numpy(),
+                             "totals": [wide_to_planes(totals[a]) for a in at], "classes": [classes[a].tobytes() for a in at],
+                             "vocabulary": [int((totals > 0).sum())] + [0] * (len(pdf) - 1)})
+
+    return staged(blocks.select("block", "held", "n", "words", "codes", "counts").mapInArrow(
+        split, "bucket int, block long, words binary, counts binary, each binary, slots binary, times binary")
+        .groupBy("bucket").applyInPandas(
+            total, "block long, bucket int, totals binary, classes binary, vocabulary long"), "totals")
 
 
 def _block_arrays(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -173,6 +250,33 @@ def _pairs_before(n: np.ndarray, codes: np.ndarray, end: int) -> np.ndarray:
     return before
 
 
+def _numbers(words: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """Places of words among the sorted frequent ones; their number for all others."""
+    if not len(frequent):
+        return np.zeros(len(words), np.int64)
+    at = np.minimum(np.searchsorted(frequent, words), len(frequent) - 1)
+    return np.where(frequent[at] == words, at, len(frequent))
+
+
+def word_contexts(row: dict, order: np.ndarray, frequent: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place * SLOTS + slot, times), ascending: classes after and before the other than frequent words of a
+    block in its training texts; places are those in ``order``."""
+    held, n, codes = _block_arrays(row)
+    words = np.frombuffer(row["words"], np.uint64)
+    number = _numbers(words, frequent)
+    other, cls = number == len(frequent), of[number]
+    train = np.repeat(~held, n)
+    a, b = (x[train].astype(np.int32) for x in (_pairs_before(n, codes, int(np.flatnonzero(words == END)[0])), codes))
+    del codes, train
+    place = np.empty(len(words), np.int64)
+    place[order] = np.arange(len(words))
+    itself = a == b
+    i, j = other[a] & ~itself, other[b] & ~itself
+    both = itself & other[a]
+    return np.unique(np.concatenate([place[a[i]] * SLOTS + cls[b[i]], place[b[j]] * SLOTS + CLASSES + cls[a[j]],
+                                     place[a[both]] * SLOTS + SLOTS - 1]), return_counts=True)
+
+
 def _sum_matrix(blocks: DataFrame, size: int, cells) -> np.ndarray:
     """Sum over blocks of ``cells(row)`` = (row, column) pairs of a bounded size x size count matrix."""
 
@@ -265,24 +369,58 @@ def exchange_classes(c: np.ndarray, classes: int, passes: int = PASSES) -> np.nd
     return of
 
 
+def best_classes(word: np.ndarray, slot: np.ndarray, times: np.ndarray, g: np.ndarray, rest: int) -> np.ndarray:
+    """For each word 0, 1, ... of class ``rest``, the other class with the largest exchange gain.
+
+    word (ascending), slot, times: its contexts (see ``SLOTS``); g: class bigram counts, with the words in ``rest``.
+    """
+    words = int(word[-1]) + 1 if len(word) else 0
+    size = len(g)
+    g = g.astype(np.float64)
+    row, col, d = g.sum(1), g.sum(0), g.diagonal()
+    out = np.empty(words, np.uint8)
+    for start in range(0, words, WORDS_AT_ONCE):
+        m = min(WORDS_AT_ONCE, words - start)
+        i, j = np.searchsorted(word, (start, start + m))
+        x = np.zeros((m, SLOTS))
+        x[word[i:j] - start, slot[i:j]] = times[i:j]
+        r, s, own = x[:, :size], x[:, CLASSES:CLASSES + size], x[:, -1:]
+        gain = np.zeros((m, size))
+        for part, cells in ((r, g.T), (s, g)):
+            inner = part.copy()
+            inner[:, rest] = 0
+            at, k = np.nonzero(inner)
+            if len(at):
+                more = _h(cells[k] + inner[at, k][:, None]) - _h(cells)[k]
+                first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+                gain[at[first]] += np.add.reduceat(more, first)
+        # The bigrams of each class with the word were counted as those with ``rest``.
+        left, right = g[:, rest] - s, g[rest] - r
+        gain += _h(left + r[:, [rest]]) - _h(left) + _h(right + s[:, [rest]]) - _h(right)
+        gain += _h(d + r + s + own) - _h(d + r) - _h(d + s) + _h(d)
+        gain -= _h(row + r.sum(1, keepdims=True) + own) - _h(row) + _h(col + s.sum(1, keepdims=True) + own) - _h(col)
+        gain[:, rest] = -np.inf
+        out[start:start + m] = gain.argmax(1)
+    return out
+
+
 class ClassModel:
     """Classes, transitions and totals, as small arrays."""
 
     def __init__(self, frequent: np.ndarray, of: np.ndarray, tokens: int, vocabulary: int):
         self.frequent, self.of = frequent, of  # sorted hashes and their classes
-        self.clustered = CLASSES
-        self.end = CLASSES  # then the bands, then unseen words
-        self.size = CLASSES + 1 + BANDS + 1
+        self.end = CLASSES  # then words met once, then unseen words
+        self.size = CLASSES + 3
         self.tokens, self.vocabulary = tokens, vocabulary
         self.log: np.ndarray | None = None
 
-    def classes(self, words: np.ndarray, totals: np.ndarray) -> np.ndarray:
-        band = np.floor(np.log2(np.maximum(totals, 1))).astype(np.int64)
-        out = np.where(totals > 0, self.end + 1 + np.minimum(band, BANDS - 1), self.size - 1)
-        if len(self.frequent):
-            at = np.minimum(np.searchsorted(self.frequent, words), len(self.frequent) - 1)
-            hit = self.frequent[at] == words
-            out[hit] = self.of[at[hit]]
+    def classes(self, words: np.ndarray, totals: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+        """chosen: classes of the words outside the frequent ones, or ``UNCLUSTERED``."""
+        out = np.where(totals > 0, self.end + 1, self.size - 1)
+        out[chosen != UNCLUSTERED] = chosen[chosen != UNCLUSTERED]
+        number = _numbers(words, self.frequent)
+        hit = number < len(self.frequent)
+        out[hit] = self.of[number[hit]]
         out[words == END] = self.end
         return out
 
@@ -317,44 +455,48 @@ def brown_scores(docs: DataFrame) -> DataFrame:
     are scored, and learned from, each. Without training rows every base score is 0.
     """
     spark = ready(docs.sparkSession)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", "text")
     blocks = staged(pack_blocks(rows), "blocks")
-    totals, tops = add_totals(blocks)
+    number = blocks.count()
+    buckets = max(LEAST_BUCKETS, -(-number // BUCKET_BLOCKS))
     tokens = blocks.agg(F.sum("train")).first()[0] or 0
-    vocabulary = totals.agg(F.sum("vocabulary")).first()[0] or 0
-    top = [r["word"] for r in tops.orderBy(F.desc("count"), "word").limit(FREQUENT).collect()]
-    frequent = np.sort(np.array(top, np.int64).view(np.uint64))
-    size = len(frequent) + 1
+    frequent = most_frequent(blocks, buckets)
 
     def frequent_pairs(row):
         held, n, codes = _block_arrays(row)
         words = np.frombuffer(row["words"], np.uint64)
-        at = np.minimum(np.searchsorted(frequent, words), max(size - 2, 0))
-        number = np.where(frequent[at] == words, at, size - 1) if size > 1 else np.zeros(len(words), np.int64)
+        number = _numbers(words, frequent)
         before = _pairs_before(n, codes, int(np.flatnonzero(words == END)[0]))
         train = np.repeat(~held, n)
         return number[before[train]], number[codes[train]]
 
-    of = exchange_classes(_sum_matrix(blocks.select("held", "n", "words", "codes"), size, frequent_pairs), CLASSES)
+    c = _sum_matrix(blocks.select("held", "n", "words", "codes"), len(frequent) + 1, frequent_pairs)
+    of = exchange_classes(c, CLASSES)
+    one = np.eye(of.max() + 1, dtype=np.int64)[of]
+    totals = add_totals(blocks, buckets, frequent, of, one.T @ c @ one)
+    vocabulary = totals.agg(F.sum("vocabulary")).first()[0] or 0
     model = ClassModel(frequent, of[:-1], tokens, vocabulary)
 
     # Each block with the totals of its words, in bucket order: as many small values as the block has buckets.
-    back = totals.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("bucket", "totals"))).alias("totals"))
+    back = totals.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("bucket", "totals", "classes"))).alias("totals"))
 
     def classified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # From here on classes stand for the words.
         for b in batches:
             for row in each_row(b):
                 words = np.frombuffer(row["words"], np.uint64)
-                counted = np.empty(len(words), np.int64)
-                counted[np.argsort(words)] = np.concatenate([wide_from_planes(t["totals"]) for t in row["totals"]])
+                counted, chosen, order = np.empty(len(words), np.int64), np.empty(len(words), np.uint8), np.argsort(words)
+                counted[order] = np.concatenate([wide_from_planes(t["totals"]) for t in row["totals"]])
+                chosen[order] = np.concatenate([np.frombuffer(t["classes"], np.uint8) for t in row["totals"]])
                 new = [[row["ids"]], [row["held"]], [row["n"]], [row["codes"]], [wide_to_planes(counted)],
-                       [model.classes(words, counted).astype(np.uint8).tobytes()], [int(np.flatnonzero(words == END)[0])]]
+                       [model.classes(words, counted, chosen).astype(np.uint8).tobytes()], [int(np.flatnonzero(words == END)[0])]]
                 types = [pa.list_(pa.int64()), *[pa.binary()] * 5, pa.int32()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(new, types)],
                                                  ["ids", "held", "n", "codes", "totals", "classes", "end_code"])
 
-    full = staged(blocks.drop("counts", "train").join(back, "block").mapInArrow(
+    # As many tasks as blocks: a task of many block rows would hold them all in one batch.
+    full = staged(blocks.drop("counts", "train").repartition(max(number, 1), "block").join(back, "block").mapInArrow(
         classified, "ids array<bigint>, held binary, n binary, codes binary, totals binary, classes binary, end_code int"),
         "classified-blocks")
 

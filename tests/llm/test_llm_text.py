@@ -1,4 +1,5 @@
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -7,7 +8,7 @@ import numpy as np
 import pytest
 
 from kiln.llm import brown
-from kiln.llm.brown import brown_scores, exchange_classes
+from kiln.llm.brown import CLASSES, SLOTS, best_classes, brown_scores, exchange_classes
 from kiln.llm.decontaminate import RADIUS, ItemIndex, drop_leaking, find_leaks, words_of
 from kiln.llm.langid import fit_prototypes, identify, trigrams
 from kiln.llm.licenses import find_licences, train_classifier
@@ -141,6 +142,47 @@ def test_exchange_moves_only_raise_the_likelihood():
     assert all(b >= a - 1e-6 for a, b in zip(steps, steps[1:])) and steps[-1] > steps[0]
 
 
+def test_best_classes_have_the_highest_likelihood():
+    r = np.random.default_rng(6)
+    c = r.poisson(3.0, (40, 40)) * (r.random((40, 40)) < 0.5)
+    of = np.append(r.integers(0, 5, 25), np.full(15, 5))  # words 25-39 are in the rest
+
+    def likelihood(of):
+        one = np.eye(6)[of]
+        g = one.T @ c @ one
+        h = lambda x: float((x * np.log(np.maximum(x, 1e-12))).sum())
+        return h(g) - h(g.sum(0)) - h(g.sum(1))
+
+    one = np.eye(6, dtype=int)[of]
+    x = np.zeros((15, SLOTS), int)
+    for i, w in enumerate(range(25, 40)):
+        after, before = c[w].copy(), c[:, w].copy()
+        after[w] = before[w] = 0
+        x[i, :6], x[i, CLASSES:CLASSES + 6], x[i, -1] = after @ one, before @ one, c[w, w]
+    word, slot = np.nonzero(x)
+    got = best_classes(word, slot, x[word, slot], one.T @ c @ one, 5)
+    want = [max(range(5), key=lambda k: likelihood(np.where(np.arange(40) == w, k, of))) for w in range(25, 40)]
+    assert got.tolist() == want
+
+
+def test_repeated_words_outside_the_frequent_ones_are_clustered(spark):
+    # Words a.. and b.. take turns; 1,200 of them are frequent, and 800 rare ones are met six times each.
+    r = random.Random(7)
+    a = [f"a{i}" for i in range(600)] * 30 + [f"a{i}" for i in range(600, 1000)] * 6
+    b = [w.replace("a", "b") for w in a]
+    r.shuffle(a)
+    r.shuffle(b)
+    pairs = [f"{x} {y}" for x, y in zip(a, b)]
+    rows = [(i, False, " ".join(pairs[i * 20:i * 20 + 20])) for i in range(len(pairs) // 20)]
+    rare = [(f"a{i}", f"b{i + 1}") for i in range(600, 998, 2)]
+    rows += [(9001, True, " ".join(f"{x} {y}" for x, y in rare)),
+             (9002, True, " ".join([x for x, _ in rare] + [y for _, y in rare]))]
+    df = spark.createDataFrame(rows, "doc_id long, held_out boolean, text string")
+    got = {r["doc_id"]: r for r in brown_scores(df).where("held_out").collect()}
+    assert math.isclose(got[9001]["base_score"], got[9002]["base_score"])
+    assert got[9001]["score"] > got[9002]["score"] + 50
+
+
 # ---- decontamination ----
 
 def weighted(words):
