@@ -1,8 +1,9 @@
 """Licence scans with a trained paragraph classifier, DataFrame and SQL functions only.
 
-Texts are cut into paragraphs (lines, and sentences within them); those that mention licensing at all
-are turned into word and word-pair features and classified by a multinomial logistic regression with
-L1, trained on the labelled notices below, licence families against ``unknown``. The threshold that
+Texts are cut at blank lines and into sentences, line breaks folded, and also into the lines of these;
+those that hold enough word pairs of the templates to resemble one are turned into word and word-pair features and classified by a
+multinomial logistic regression with L1, trained on the labelled notices below, licence families against
+``unknown``. The threshold that
 a family's probability must reach is calibrated on held-back unknown notices. A prediction counts only
 if the paragraph also resembles a template of the predicted family: the share of the template's word
 pairs that it holds, or, for fragments, of its own pairs that the template holds.
@@ -10,7 +11,7 @@ pairs that it holds, or, for fragments, of its own pairs that the template holds
 
 from __future__ import annotations
 
-from functools import reduce
+import math
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
@@ -26,10 +27,6 @@ LEAST_PROBABILITY = 0.5
 SIMILAR = 0.6
 UNKNOWN = "unknown"
 
-# Every paragraph that can be a licence notice mentions one of these (fixed values, lower case).
-MENTIONS = ("licen", "copyright", "copyleft", "(c)", "©", "spdx", "public domain", "rights reserved", "permission",
-            "redistribut", "warranty", "lizenz", "licencia", "creative commons", "cc by", "cc-by", "cc0", "gpl")
-
 # Notices by family: customary wordings, as published with the licences (fixed values).
 TEMPLATES: dict[str, tuple[str, ...]] = {
     "MIT": (
@@ -162,27 +159,45 @@ def train_classifier(spark: SparkSession) -> tuple[LogisticRegressionModel, floa
     return model, max(LEAST_PROBABILITY, worst or 0.0)
 
 
-def paragraphs(text: Column) -> Column:
-    """Lines and their sentences that mention licensing; null for none."""
-    parts = F.transform(F.split(text, r"(?<=[.!?;])\s+|[\r\n]+"), lambda s: F.trim(s))
-    return F.filter(parts, _mentions)
+def sentences(text: Column) -> Column:
+    """Sentences of the parts between blank lines, line breaks in them kept; ``v.`` and semicolons end none."""
+    blocks = F.split(F.regexp_replace(text, r"\r\n?", "\n"), r"\n[^\S\n]*(?:\n[^\S\n]*)+")
+    return F.flatten(F.transform(blocks, lambda b: F.split(b, r"(?<=[.!?])(?<!\b[vV]\.)\s+")))
+
+
+def paragraphs(sentence: Column) -> Column:
+    """(line, paragraph): the sentence with its line breaks folded, and its lines and clauses if it has several."""
+    pieces = F.split(sentence, r"\n|(?<=;|\b[vV]\.)\s+")
+    whole = F.array(F.struct(F.lit(False).alias("line"), F.trim(F.regexp_replace(sentence, r"\s*\n\s*", " ")).alias("paragraph")))
+    return F.when(F.size(pieces) > 1, F.concat(whole, F.transform(
+        pieces, lambda x: F.struct(F.lit(True).alias("line"), F.trim(x).alias("paragraph"))))).otherwise(whole)
 
 
-def _mentions(text: Column) -> Column:
-    """Whether a text mentions licensing; the lambda binds its lower-case form, so that it is made once."""
-    return F.exists(F.array(F.lower(text)), lambda low: reduce(lambda a, b: a | b, [low.contains(m) for m in MENTIONS]))
+def resembling(spark: SparkSession):
+    """A filter that lets through every text that can reach ``SIMILAR``: one that holds as many word pairs of the
+    templates as the shortest comparison needs."""
+    each = spark.range(1).select(F.array(*[word_pairs(tokens(F.lit(t))) for ts in TEMPLATES.values() for t in ts])).first()[0]
+    known = F.array(*[F.lit(x) for x in sorted({x for t in each for x in t})])
+    least = math.ceil(SIMILAR * min(3, min(map(len, each))))
+    # The lambda binds the words, so that they are made once.
+    return lambda text: F.exists(F.array(tokens(text)), lambda w: F.size(F.array_intersect(word_pairs(w), known)) >= least)
 
 
 def find_licences(docs: DataFrame, model: LogisticRegressionModel, threshold: float, id_col: str = "doc_id",
                   text: str = "text") -> DataFrame:
     """(doc_id, paragraph, family, probability, similarity) of every confirmed notice, one row per occurrence.
 
-    Null and empty texts have none. Very long paragraphs are compared whole.
+    A sentence of several lines or clauses counts by those of a family, or else as a whole. Null and empty
+    texts have none. Very long paragraphs are compared whole.
     """
     ready(docs.sparkSession)
-    rows = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("_text"))
-            .where(_mentions(F.col("_text")))
-            .select("doc_id", F.explode(paragraphs(F.col("_text"))).alias("paragraph")))
+    resembles = resembling(docs.sparkSession)
+    rows = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("_row"),
+                        F.col(text).alias("_text"))
+            .select("doc_id", "_row", F.posexplode(sentences(F.col("_text"))).alias("unit", "_sentence"))
+            .where(resembles(F.col("_sentence")))
+            .select("doc_id", "_row", "unit", F.inline(paragraphs(F.col("_sentence"))))
+            .where(resembles(F.col("paragraph"))))
     rows = model.transform(featured(rows, "paragraph"))
     families = F.array(*[F.lit(f) for f in _classes()])
     p = vector_to_array("probability")
@@ -193,8 +208,13 @@ def find_licences(docs: DataFrame, model: LogisticRegressionModel, threshold: fl
                            for x in (F.lit(f), F.array(*[word_pairs(tokens(F.lit(t))) for t in ts]))])
     similar = F.array_max(F.transform(known[F.col("family")], lambda t: F.size(F.array_intersect("_pairs", t)) / F.least(
         F.size(t), F.greatest(F.size("_pairs"), F.lit(3)))))
-    return (rows.withColumn("similarity", similar).where(F.col("similarity") >= SIMILAR)
-            .select("doc_id", "paragraph", "family", F.col("probability_").alias("probability"), "similarity"))
+    found = rows.withColumn("similarity", similar).where(F.col("similarity") >= SIMILAR)
+    # The confirmed parts of one sentence of one text.
+    found = (found.groupBy("doc_id", "_row", "unit", "family")
+             .agg(F.collect_list(F.struct("line", "paragraph", "probability_", "similarity")).alias("_all"))
+             .withColumn("_lines", F.filter("_all", lambda x: x["line"]))
+             .select("doc_id", "family", F.explode(F.when(F.size("_lines") > 0, F.col("_lines")).otherwise(F.col("_all"))).alias("_one")))
+    return found.select("doc_id", "_one.paragraph", "family", F.col("_one.probability_").alias("probability"), "_one.similarity")
 
 
 def op10_license(spark, sf_dir: str) -> DataFrame:

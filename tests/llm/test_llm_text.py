@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -11,7 +12,7 @@ from kiln.llm import brown
 from kiln.llm.brown import CLASSES, SLOTS, best_classes, brown_scores, exchange_classes
 from kiln.llm.decontaminate import RADIUS, ItemIndex, drop_leaking, find_leaks, words_of
 from kiln.llm.langid import fit_prototypes, identify, trigrams
-from kiln.llm.licenses import find_licences, train_classifier
+from kiln.llm.licenses import TEMPLATES, find_licences, train_classifier
 from kiln.llm.toxicity import fit_toxicity, ftrl, op5_toxicity, score_toxicity
 from kiln.sources.tables import table
 
@@ -265,3 +266,10 @@ def test_licences_nulls_repeats_and_empty_table(spark, classifier):
                                 (2, "Released under the MIT License.")], "doc_id long, text string")
     assert sorted(r["doc_id"] or -1 for r in find_licences(df, *classifier).collect()) == [-1, 2, 2, 2, 2]
     assert find_licences(df.where("false"), *classifier).count() == 0
+
+
+def test_every_template_is_found_also_wrapped(spark, classifier):
+    cases = [(f, t) for f, ts in TEMPLATES.items() for s in ts for t in (s, "Intro\n\n" + textwrap.fill(s, 72))]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(cases)], "doc_id long, text string")
+    got = {(r["doc_id"], r["family"]) for r in find_licences(df, *classifier).collect()}
+    assert [c for i, c in enumerate(cases) if (i, c[0]) not in got] == []
