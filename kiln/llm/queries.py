@@ -6,6 +6,7 @@ import corpus_pipeline
 from kiln.llm.bpe import op3_bpe
 from kiln.llm.brown import op6_brown
 from kiln.llm.decontaminate import op7_decontaminate
+from kiln.llm.exactdup import OP13_SQL, op13_exactdup
 from kiln.llm.html import op2_html
 from kiln.llm.langid import op1_language
 from kiln.llm.licenses import op10_license
@@ -17,6 +18,7 @@ from kiln.llm.warc import OP9_SQL, op9_warc
 QUERIES = {
     "op1_language": (op1_language, None),
     "op10_license": (op10_license, None),
+    "op13_exactdup": (op13_exactdup, OP13_SQL),
     "op2_html": (op2_html, None),
     "op3_bpe": (op3_bpe, None),
     "op4_neardup": (op4_neardup, None),
