@@ -11,6 +11,7 @@ from kiln.llm.html import op2_html
 from kiln.llm.langid import op1_language
 from kiln.llm.licenses import op10_license
 from kiln.llm.neardup import op4_neardup
+from kiln.llm.prefixtrie import OP11_SQL, op11_prefixtrie
 from kiln.llm.topk import OP8_SQL, op8_topk
 from kiln.llm.toxicity import op5_toxicity
 from kiln.llm.vafile import OP12_SQL, op12_vafile
@@ -19,6 +20,7 @@ from kiln.llm.warc import OP9_SQL, op9_warc
 QUERIES = {
     "op1_language": (op1_language, None),
     "op10_license": (op10_license, None),
+    "op11_prefixtrie": (op11_prefixtrie, OP11_SQL),
     "op12_vafile": (op12_vafile, OP12_SQL),
     "op13_exactdup": (op13_exactdup, OP13_SQL),
     "op2_html": (op2_html, None),
