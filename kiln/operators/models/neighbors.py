@@ -1,82 +1,29 @@
-"""k-nearest-neighbour classifier and regressor (M5, M21), exact.
+"""k-nearest-neighbour classifier and regressor (M5, M21), exact, over the metric index of ``metric_index``.
 
-The training rows go in blocks of about ``BLOCK_NUMBERS`` numbers (rows x dims), split by a hash of the
-id; each block is broadcast in turn and every query partition computes its exact top k of the block with
-numpy in Arrow batches (the query side is never shuffled for it). The per-block winners, k rows per
-query and block, are merged per query. One block or many, the path, types and result are the same.
-
-Distances are squared Euclidean summed dimension by dimension; ties go to the smaller training id.
+No training table is broadcast or collected: pivots, bounded in number, and one summary row per cell reach the
+driver. Small and large tables take the same path.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-from functools import reduce
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.session import spread
-
-BLOCK_NUMBERS = 2_000_000  # training rows x dims that are broadcast together
+from kiln.operators.models.metric_index import MetricIndex
 
 
 def neighbours(train: DataFrame, query: DataFrame, vec: str, label: str, k: int, train_id: str,
-               query_id: str, exclude_self: bool = False, block_numbers: int = BLOCK_NUMBERS) -> DataFrame:
+               query_id: str, exclude_self: bool = False) -> DataFrame:
     """(query_id, nn) with nn = the k nearest training points as array<struct<dist, tid, label>>; ids and
-    labels of any type. Training rows without id or vector take no part."""
-    tr = train.select(F.col(train_id).alias("_tid"), F.col(label).alias("_lab"),
-                      F.col(vec).cast("array<double>").alias("_v")).where("_tid IS NOT NULL AND _v IS NOT NULL")
-    n, dims = tr.agg(F.count(F.lit(1)), F.max(F.size("_v"))).first()
-    blocks = max(1, math.ceil(n * (dims or 1) / block_numbers))
-    types = {c: f.dataType.simpleString() for c, f in
-             (("tid", train.schema[train_id]), ("lab", train.schema[label]), ("qid", query.schema[query_id]))}
-    schema = f"`{query_id}` {types['qid']}, nn array<struct<dist: double, tid: {types['tid']}, label: {types['lab']}>>"
-    q = spread(query.select(F.col(query_id).alias("_qid"), F.col(vec).cast("array<double>").alias("_q")), "_qid")
-    parts = [_block_neighbours(tr.where(F.pmod(F.xxhash64("_tid"), F.lit(blocks)) == b), q, k, query_id, exclude_self, schema)
-             for b in range(blocks)]
-    if blocks == 1:
-        return parts[0]
-    merged = reduce(lambda a, b: a.unionByName(b), parts).groupBy(query_id).agg(F.flatten(F.collect_list("nn")).alias("_all"))
-    return merged.select(query_id, F.slice(F.array_sort("_all"), 1, k).alias("nn"))
-
-
-def _block_neighbours(tr: DataFrame, q: DataFrame, k: int, query_id: str, exclude_self: bool, schema: str) -> DataFrame:
-    rows = tr.orderBy("_tid").collect()  # bounded by the block size
-    pts = np.array([r["_v"] for r in rows], np.float64) if rows else np.zeros((0, 0))
-    bc = tr.sparkSession.sparkContext.broadcast(([r["_tid"] for r in rows], [r["_lab"] for r in rows], pts))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        t_ids, t_labs, t_pts = bc.value
-        order = np.arange(len(t_ids))  # rows come in id order, so positions break ties
-        places: dict = {}
-        for i, t in enumerate(t_ids):
-            places.setdefault(t, []).append(i)
-        for pdf in batches:
-            out_nn = []
-            for start in range(0, len(pdf), 256):
-                part = pdf.iloc[start:start + 256]
-                qv = np.stack(part["_q"].to_numpy())
-                dist = np.zeros((len(part), len(t_ids)))
-                for j in range(qv.shape[1] if len(t_ids) else 0):  # dimension by dimension, as a left-to-right sum
-                    diff = qv[:, j, None] - t_pts[None, :, j]
-                    dist += diff * diff
-                if exclude_self:
-                    for row, qid in enumerate(part["_qid"].tolist()):
-                        dist[row, places.get(qid, [])] = np.inf
-                kk = min(k, len(t_ids))
-                kth = np.partition(dist, kk - 1, axis=1)[:, kk - 1] if kk else np.zeros(len(part))
-                for row in range(len(part)):
-                    cand = np.nonzero(dist[row] <= kth[row])[0]  # k nearest plus any ties at the k-th distance
-                    top = cand[np.lexsort((order[cand], dist[row, cand]))][:kk]
-                    top = top[np.isfinite(dist[row, top])]
-                    out_nn.append([{"dist": float(dist[row, i]), "tid": t_ids[i], "label": t_labs[i]} for i in top])
-            yield pd.DataFrame({query_id: pdf["_qid"], "nn": out_nn})
-
-    return q.mapInPandas(run, schema)
+    labels of any type. Training rows without id or vector take no part; without any, no query has neighbours."""
+    tr = train.select(F.col(train_id).alias("tid"), F.col(label).alias("label"), F.col(vec).cast("array<double>").alias("v"))
+    q = query.select(F.col(query_id).alias("qid"), F.col(vec).cast("array<double>").alias("v"))
+    index = MetricIndex(tr, k, exclude_self)
+    if not index.n:
+        types = ", ".join(f"{n}: {tr.schema[n].dataType.simpleString()}" for n in ("tid", "label"))
+        empty = F.array().cast(f"array<struct<dist: double, {types}>>")
+        return q.select(F.col("qid").alias(query_id), empty.alias("nn"))
+    return index.search(q).withColumnRenamed("qid", query_id)
 
 
 def knn_classify(train: DataFrame, query: DataFrame, vec: str, label: str, k: int = 4, train_id: str = "id",

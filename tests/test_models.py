@@ -30,16 +30,11 @@ def _brute_knn(pdf, k):
     return out
 
 
-def test_knn_one_and_many_blocks_agree_with_brute_force(spark, blobs, monkeypatch):
+def test_knn_agrees_with_brute_force(spark, blobs):
     df, pdf = blobs
-    want = _brute_knn(pdf, 4)
     got = {r["id"]: r["prediction"] for r in
            neighbors.knn_classify(df, df, "vec", "label", 4, "id", "id", exclude_self=True).collect()}
-    assert got == want
-    monkeypatch.setattr(neighbors.neighbours, "__defaults__", (False, 20))  # ten blocks and more
-    chunked = neighbors.knn_classify(df, df, "vec", "label", 4, "id", "id", exclude_self=True)
-    got2 = {r["id"]: r["prediction"] for r in chunked.collect()}
-    assert got2 == want
+    assert got == _brute_knn(pdf, 4)
 
 
 def test_gaussian_nb_matches_numpy(spark, blobs):
