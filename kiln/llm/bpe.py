@@ -23,6 +23,7 @@ Ids are carried as one binary value per row: little-endian unsigned 32-bit integ
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import sys
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kiln.llm.common import ready, replace_columns, schema_plus, texts_of
+from kiln.llm.common import hold_memory, ready, remembers, replace_columns, schema_plus, texts_of
 
 # Words and transitions a worker remembers; beyond it the memory is emptied and filled anew.
 MEMO_WORDS = 600_000
@@ -245,10 +246,12 @@ class BpeCodec:
 
 
 _codecs: dict[str, BpeCodec] = {}
+remembers("bpe", _codecs.clear)
 
 
 def codec(path: str) -> BpeCodec:
     """The codec of a file, built once per process."""
+    hold_memory("bpe")
     if path not in _codecs:
         _codecs[path] = BpeCodec(path)
     return _codecs[path]
@@ -292,11 +295,20 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 
 def bpe_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of encoding every text and decoding its ids again."""
+    ready(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
-    coded = bpe_decode(bpe_encode(rows, path, drop=("text",)), path)
-    return coded.select(
-        "doc_id", F.expr("length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = codec(path)  # one worker encodes and decodes: two would hold a codec each
+        for b in batches:
+            ids = [c.encode(t) for t in texts_of(b, "text")]
+            yield replace_columns(
+                b, ("text",), n_tokens=pa.array([len(x) // 4 for x in ids], pa.int64()),
+                ids_sha256=pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
+                decoded_sha256=pa.array([hashlib.sha256(c.decode(x).encode("utf-8")).hexdigest() for x in ids], pa.string()))
+
+    return rows.mapInArrow(run, schema_plus(rows, ("text",), n_tokens=T.LongType(), ids_sha256=T.StringType(),
+                                            decoded_sha256=T.StringType()))
 
 
 def op3_bpe(spark, sf_dir: str) -> DataFrame:

@@ -20,7 +20,6 @@ the vocabulary. Only the frequent words' bigram counts, a bounded matrix, and cl
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,13 +28,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.common import id_bucket, ready, slices, texts_of
+from kiln.llm.common import give_back, id_bucket, ready, slices, texts_of
 from kiln.llm.shingles import split_words, word_hashes
 from kiln.session import staged
 
 BLOCK_CHARS = 8_000_000
-# Bytes of block rows handed to Python at a time.
-BATCH_BYTES = 16 << 20
 # Blocks whose words one bucket adds up: sets the number of buckets, so a bucket's size stays the same.
 BUCKET_BLOCKS = 16
 LEAST_BUCKETS = 64
@@ -70,14 +67,6 @@ def wide_from_planes(x: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(8, -1).T).view("<u8").ravel().astype(np.int64)
 
 
-def give_back() -> None:
-    """Return freed memory to the system: Python workers live on between stages and would keep their peaks."""
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
-    if trim:
-        trim(0)
-
-
 def each_row(batch: pa.RecordBatch) -> Iterator[dict]:
     """The rows of a batch one at a time: block rows are large, so no more than one is copied."""
     for i in range(batch.num_rows):
@@ -455,7 +444,6 @@ def brown_scores(docs: DataFrame) -> DataFrame:
     are scored, and learned from, each. Without training rows every base score is 0.
     """
     spark = ready(docs.sparkSession)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", "text")
     blocks = staged(pack_blocks(rows), "blocks")
     number = blocks.count()

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,7 @@ from kiln.session import prepare
 
 # Rows an Arrow batch holds when documents are handed to Python: bounds a worker's memory.
 BATCH_ROWS = 1024
+BATCH_BYTES = 16 << 20
 
 # Lower-casing of A-Z only, and runs of anything but blank and \t..\r.
 ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -24,9 +26,38 @@ def ready(spark: SparkSession) -> SparkSession:
     """Session defaults, shared folder, worker package and small Arrow batches."""
     prepare(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 
+# What Python workers remember between batches, by owner: the functions that forget it.
+_forget: dict[str, Callable[[], None]] = {}
+_owner = [""]
+
+
+def remembers(owner: str, forget: Callable[[], None]) -> None:
+    """Register a worker memory; it lasts until another owner's begins."""
+    _forget[owner] = forget
+
+
+def hold_memory(owner: str) -> None:
+    """Workers live on between stages: one memory at a time, so a stage starts without what others left."""
+    if _owner[0] != owner:
+        for name, forget in _forget.items():
+            if name != owner:
+                forget()
+        _owner[0] = owner
+        give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def schema_plus(df: DataFrame, drop: tuple[str, ...] = (), **new: T.DataType) -> T.StructType:
     """The schema of ``df`` without ``drop`` and the new names, followed by the new columns."""
     gone = {c.lower() for c in (*drop, *new)}

@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kiln.llm.common import id_bucket, keep_texts, mix64, ready, replace_columns, schema_plus, slices, texts_of
+from kiln.llm.common import (hold_memory, id_bucket, keep_texts, mix64, ready, remembers, replace_columns, schema_plus,
+                             slices, texts_of)
 
 DIMS = 1024
 SLICE_CHARS = 60_000
@@ -31,10 +32,12 @@ SEED = 20240229
 UNDETERMINED = "und"
 
 _tables: dict[str, np.ndarray] = {}
+remembers("langid", _tables.clear)
 
 
 def _letters() -> tuple[np.ndarray, np.ndarray]:
     """Slot of each code point (0: no letter), and the vectors of the slots rotated by place."""
+    hold_memory("langid")
     if not _tables:
         cps = np.arange(0x110000, dtype=np.uint64)
         slot = (OWN_LETTERS + mix64(cps) % np.uint64(SLOTS - OWN_LETTERS)).astype(np.int64)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-from kiln.llm.common import distinct, mix64
+from kiln.llm.common import distinct, hold_memory, mix64, remembers
 
 KNOWN_WORDS = 400_000
 
@@ -21,6 +21,7 @@ class WordHashes(dict):
 
 
 _hashes = WordHashes()
+remembers("shingles", _hashes.clear)
 
 
 def split_words(text: str) -> list[bytes]:
@@ -29,6 +30,7 @@ def split_words(text: str) -> list[bytes]:
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
+    hold_memory("shingles")
     return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
 
 

@@ -23,7 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kiln.llm.common import distinct, id_bucket, keep_texts, mix64, ready, replace_columns, schema_plus, slices, texts_of
+from kiln.llm.common import (distinct, hold_memory, id_bucket, keep_texts, mix64, ready, remembers, replace_columns,
+                             schema_plus, slices, texts_of)
 
 HASH_BITS = 20
 TOXIC = 0.7
@@ -54,20 +55,25 @@ class WordHashes(dict):
             known.append(xxhash.xxh64_intdigest(word[:length], seed=length))
         return n
 
+    def forget(self) -> None:
+        self.clear()
+        self.hashes = [array("Q") for _ in self.hashes]
+
     def of(self, words: list[list[str]], total: int) -> list[np.ndarray]:
         """Hashes of all words in order: whole words, then each stem length."""
         if len(self) > KNOWN_WORDS:
-            self.clear()
-            self.hashes = [array("Q") for _ in self.hashes]
+            self.forget()
         at = np.fromiter((x for w in words for x in map(self.__getitem__, w)), np.int64, total)
         return [np.array(known, np.uint64)[at] if total else np.empty(0, np.uint64) for known in self.hashes]
 
 
 _hashes = WordHashes()
+remembers("toxicity", _hashes.forget)
 
 
 def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(text position, hashed feature) of every occurrence, in no order."""
+    hold_memory("toxicity")
     words = [_WORD.findall(t.lower()) for t in texts]
     n = [len(w) for w in words]
     h, *stems = _hashes.of(words, sum(n))
