@@ -33,75 +33,6 @@ def d_modified_huber(y_pm: Column, m: Column) -> Column:
     return F.when(z >= 1, F.lit(0.0)).when(z >= -1, -2.0 * y_pm * (1 - z)).otherwise(-4.0 * y_pm)
 
 
-# ------------------------------------------------------------------ dense linear
-
-def np_epsilon_insensitive(eps: float):
-    def d(y: np.ndarray, m: np.ndarray) -> np.ndarray:
-        r = m - y
-        return np.where(r > eps, 1.0, np.where(r < -eps, -1.0, 0.0))
-    return d
-
-
-def np_hinge(y_pm: np.ndarray, m: np.ndarray) -> np.ndarray:
-    return np.where(y_pm * m < 1, -y_pm, 0.0)
-
-
-def np_modified_huber(y_pm: np.ndarray, m: np.ndarray) -> np.ndarray:
-    z = y_pm * m
-    return np.where(z >= 1, 0.0, np.where(z >= -1, -2.0 * y_pm * (1 - z), -4.0 * y_pm))
-
-
-@dataclass
-class FittedLinear:
-    w: np.ndarray
-    b: float
-
-    def margin(self, x: Sequence[Column]) -> Column:
-        return sum([c * float(wi) for c, wi in zip(x, self.w)], F.lit(float(self.b)))
-
-
-def dense_gd(df: DataFrame, x: Sequence[str], y: Column, dloss, l2: float = 1e-4, steps: int = 100,
-             lr: float = 0.1, tol: float = 1e-4) -> FittedLinear:
-    """Minimise mean loss + l2/2 ||w||^2 with Adam on full-batch gradients; stops when no coordinate
-    of the gradient exceeds ``tol``, or after ``steps``.
-    ``dloss(y, margin)`` is the numpy loss derivative. Every step is one job: each
-    Arrow batch returns its (d + 1)-long gradient sum, a group-by over the
-    coordinate adds them up; the weights travel as a broadcast variable."""
-    d = len(x)
-    cols = list(x)
-    data = materialize(df.select(*[F.col(c).cast("double").alias(c) for c in cols], y.cast("double").alias("_y")))
-    n = data.count()
-    sc = data.sparkSession.sparkContext
-    w, b = np.zeros(d), 0.0
-    mom, vel = np.zeros(d + 1), np.zeros(d + 1)
-    for t in range(1, steps + 1):
-        bw = sc.broadcast(np.append(w, b))
-
-        def part(batches: Iterator[pd.DataFrame], bw=bw) -> Iterator[pd.DataFrame]:
-            acc = np.zeros(d + 1)
-            wb = bw.value
-            for pdf in batches:
-                if len(pdf):
-                    xb = pdf[cols].to_numpy(dtype=float)
-                    g = dloss(pdf["_y"].to_numpy(dtype=float), xb @ wb[:d] + wb[d])
-                    acc[:d] += g @ xb
-                    acc[d] += g.sum()
-            yield pd.DataFrame({"k": np.arange(d + 1), "g": acc})
-
-        got = data.mapInPandas(part, "k long, g double").groupBy("k").agg(F.sum("g").alias("g")).toPandas()
-        bw.unpersist()
-        grad = np.zeros(d + 1)
-        grad[got.k.to_numpy()] = got.g.to_numpy() / n
-        grad[:d] += l2 * w
-        if np.abs(grad).max() < tol:
-            break
-        mom = 0.9 * mom + 0.1 * grad
-        vel = 0.999 * vel + 0.001 * grad ** 2
-        step = lr * (mom / (1 - 0.9 ** t)) / (np.sqrt(vel / (1 - 0.999 ** t)) + 1e-8)
-        w, b = w - step[:d], b - step[d]
-    return FittedLinear(w, b)
-
-
 # ------------------------------------------------------------------ sparse linear (text)
 
 def sparse_gd(long: DataFrame, labels: DataFrame, doc: str, term: str, weight: str, y: Column, dloss,
@@ -144,35 +75,6 @@ def sparse_margins(long: DataFrame, docs: DataFrame, doc: str, term: str, weight
                                                         .alias("margin"))
 
 
-# ------------------------------------------------------------------ random Fourier features (RBF kernel)
-
-@dataclass
-class FourierMap:
-    """z(x) = sqrt(2/D) cos(W x + b), W ~ N(0, 2 gamma), b ~ U[0, 2 pi): E[z(x) z(y)] = exp(-gamma ||x-y||^2)."""
-    w: np.ndarray
-    b: np.ndarray
-
-    def columns(self, x: Sequence[str], prefix: str = "rff") -> list[Column]:
-        scale = math.sqrt(2.0 / len(self.b))
-        out = []
-        for j in range(len(self.b)):
-            arg = sum([F.col(c).cast("double") * float(self.w[j, i]) for i, c in enumerate(x)], F.lit(float(self.b[j])))
-            out.append((F.cos(arg) * scale).alias(f"{prefix}{j}"))
-        return out
-
-
-def fit_fourier(df: DataFrame, x: Sequence[str], components: int = 100, gamma: float | None = None,
-                seed: int = 1) -> FourierMap:
-    """gamma=None is sklearn's 'scale': 1 / (n_features * variance of all feature values)."""
-    if gamma is None:
-        long = df.select(F.explode(F.array(*[F.col(c).cast("double") for c in x])).alias("_v"))
-        var = long.agg(F.var_pop("_v")).first()[0] or 1.0
-        gamma = 1.0 / (len(x) * var)
-    rng = np.random.default_rng(seed)
-    return FourierMap(rng.normal(0.0, math.sqrt(2 * gamma), (components, len(x))),
-                      rng.uniform(0, 2 * math.pi, components))
-
-
 # ------------------------------------------------------------------ dense ReLU network
 
 @dataclass

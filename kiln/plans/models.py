@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kiln.operators.models import bayes, boosting, discriminant, gradient, mllib, neighbors, tuning
+from kiln.operators.models import bayes, boosting, discriminant, gradient, kernel_basis, kernel_svm, mllib, neighbors, tuning
 from kiln.operators.ordering import stratified_folds, train_test_split
 from kiln.operators.transform import fit_standard_scaler
 from kiln.plans.catalog import register
@@ -110,19 +110,8 @@ def q_feature_importance(spark, sf):
 
 @register("clf_svm", "M4")
 def q_clf_svm(spark, sf):
-    from pyspark.ml.classification import LinearSVC
-
-    from kiln.operators.models.base import fit_pipeline
-
     train, test = doc_split(spark, sf, scaled=True)
-    fmap = gradient.fit_fourier(train, DOC_X, components=100)
-    tr = train.select("doc_id", "quality", *fmap.columns(DOC_X))
-    te = test.select("doc_id", "quality", *fmap.columns(DOC_X))
-    n = tr.count()
-    feats = [f"rff{j}" for j in range(100)]
-    m = fit_pipeline(tr, feats, "quality", LinearSVC(labelCol="quality", regParam=1.0 / n, standardization=False,
-                                                     maxIter=50))
-    return _clf_out(m, te)
+    return _clf_out(kernel_svm.svm_classifier(train, DOC_X, "quality"), test)
 
 
 @register("clf_knn", "M5", """
@@ -245,13 +234,7 @@ def q_reg_tree(spark, sf):
 @register("reg_svr", "M20")
 def q_reg_svr(spark, sf):
     train, test, scaler = order_split(spark, sf, scaled=True)
-    fmap = gradient.fit_fourier(train, ORD_X, components=50)
-    feats = [f"rff{j}" for j in range(50)]
-    tr = train.select("o_orderkey", "revenue", *fmap.columns(ORD_X))
-    te = test.select("o_orderkey", "revenue", *fmap.columns(ORD_X))
-    fit = gradient.dense_gd(tr, feats, F.col("revenue"), gradient.np_epsilon_insensitive(0.1),
-                            l2=1.0 / tr.count(), steps=100, lr=0.1)
-    return _unscaled(te.withColumn("prediction", fit.margin([F.col(c) for c in feats])), scaler)
+    return _unscaled(kernel_basis.svm_regressor(train, ORD_X, "revenue").transform(test), scaler)
 
 
 @register("reg_knn", "M21", """

@@ -87,15 +87,6 @@ def test_ridge_and_lasso_match_closed_forms(spark):
     assert np.allclose(m.coefficients.toArray(), want, rtol=1e-4)
 
 
-def test_dense_gd_epsilon_insensitive_fits_line(spark):
-    pdf = pd.DataFrame({"x": np.linspace(-1, 1, 101)})
-    pdf["y"] = 2 * pdf.x + 1
-    df = spark.createDataFrame(pdf)
-    fit = gradient.dense_gd(df, ["x"], F.col("y"), gradient.np_epsilon_insensitive(0.01), l2=0.0, steps=300, lr=0.05)
-    assert fit.w[0] == pytest.approx(2.0, abs=0.1)
-    assert fit.b == pytest.approx(1.0, abs=0.1)
-
-
 def test_model_save_load_roundtrip(spark, tmp_path):
     rng = np.random.default_rng(2)
     pdf = pd.DataFrame(rng.normal(size=(80, 2)), columns=["a", "b"])
