@@ -472,7 +472,7 @@ def op11_prefixtrie(spark, sf_dir: str) -> DataFrame:
     from kiln.sources.tables import table
 
     ready(spark)
-    turns = conversation_turns(table(spark, sf_dir, "conversations"))
+    turns = staged(conversation_turns(table(spark, sf_dir, "conversations")), "turns")
     return prefix_trie(keyed_segments(path_segments(shared_openings(turns))))
 
 
