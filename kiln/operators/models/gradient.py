@@ -25,56 +25,6 @@ from kiln.session import materialize
 CHECKPOINT_EVERY = 10
 
 
-# ------------------------------------------------------------------ losses (derivative w.r.t. margin)
-
-def d_modified_huber(y_pm: Column, m: Column) -> Column:
-    """Modified Huber, y in {-1, +1}: z = y m; 0 if z >= 1; -2 y (1 - z) if z >= -1; else -4 y."""
-    z = y_pm * m
-    return F.when(z >= 1, F.lit(0.0)).when(z >= -1, -2.0 * y_pm * (1 - z)).otherwise(-4.0 * y_pm)
-
-
-# ------------------------------------------------------------------ sparse linear (text)
-
-def sparse_gd(long: DataFrame, labels: DataFrame, doc: str, term: str, weight: str, y: Column, dloss,
-              l2: float = 1e-4, steps: int = 30, lr: float = 0.5) -> tuple[DataFrame, float]:
-    """Weights as a Spark table (term, w) plus an intercept; full-batch Adam steps.
-    Returns (weights table, intercept)."""
-    lab = labels.select(doc, y.alias("_y")).cache()
-    n = lab.count()
-    x = long.select(doc, term, F.col(weight).alias("_x")).cache()
-    w = x.select(term).distinct().select(term, F.lit(0.0).alias("w"), F.lit(0.0).alias("m"),
-                                         F.lit(0.0).alias("v"))
-    w = materialize(w)
-    b, mb, vb = 0.0, 0.0, 0.0
-    for t in range(1, steps + 1):
-        margins = x.join(w.select(term, "w"), term).groupBy(doc).agg(F.sum(F.col("_x") * F.col("w")).alias("_m"))
-        per_doc = materialize(lab.join(margins, doc, "left").select(
-            doc, dloss(F.col("_y"), F.coalesce(F.col("_m"), F.lit(0.0)) + F.lit(b)).alias("_g")))
-        gb = per_doc.agg(F.sum("_g")).first()[0] / n
-        gterm = x.join(per_doc, doc).groupBy(term).agg((F.sum(F.col("_g") * F.col("_x")) / n).alias("_gt"))
-        g = F.coalesce(F.col("_gt"), F.lit(0.0)) + l2 * F.col("w")
-        m_new = 0.9 * F.col("m") + 0.1 * g
-        v_new = 0.999 * F.col("v") + 0.001 * g * g
-        step = lr * (m_new / (1 - 0.9 ** t)) / (F.sqrt(v_new / (1 - 0.999 ** t)) + 1e-8)
-        w = w.join(gterm, term, "left").select(term, (F.col("w") - step).alias("w"), m_new.alias("m"),
-                                               v_new.alias("v"))
-        # The new weights reference the old ones twice (margins and update): checkpoint
-        # every step so the plan does not double per iteration.
-        w = materialize(w)
-        mb = 0.9 * mb + 0.1 * gb
-        vb = 0.999 * vb + 0.001 * gb * gb
-        b -= lr * (mb / (1 - 0.9 ** t)) / (math.sqrt(vb / (1 - 0.999 ** t)) + 1e-8)
-    return w.select(term, "w"), b
-
-
-def sparse_margins(long: DataFrame, docs: DataFrame, doc: str, term: str, weight: str, w: DataFrame,
-                   b: float) -> DataFrame:
-    """(doc, margin) for every doc of ``docs`` (docs without known terms get the intercept)."""
-    m = long.join(w, term).groupBy(doc).agg(F.sum(F.col(weight) * F.col("w")).alias("_m"))
-    return docs.select(doc).join(m, doc, "left").select(doc, (F.coalesce(F.col("_m"), F.lit(0.0)) + b)
-                                                        .alias("margin"))
-
-
 # ------------------------------------------------------------------ dense ReLU network
 
 @dataclass

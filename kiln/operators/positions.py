@@ -1,8 +1,8 @@
 """Dense positions and running sums in a global (or per-group) order without a
 single-partition window.
 
-Plan: range-partition + sort by (group, order) -> reliable checkpoint (fixes the
-sampled range bounds, so both passes see the same partitions) -> per
+Plan: range-partition + sort by (group, order) -> a written copy with each row's partition and
+place (fixes the sampled range bounds, so both passes see the same partitions) -> per
 (partition, group) counts -> offsets over that small table -> add the offset to
 the row's index inside its partition. A hot group simply spans many range
 partitions; no task ever holds more than one partition.
@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kiln.session import materialize
+from kiln.session import staged
 
 # Offset tables (one row per partition x group present in it) up to this many rows are broadcast.
 BROADCAST_ROWS = 2_000_000
@@ -31,10 +31,9 @@ def null_safe_join(left: DataFrame, right: DataFrame, cols: Sequence[str], how:
 
 def sorted_checkpoint(df: DataFrame, keys: Sequence) -> DataFrame:
     """Sorted copy written to the shared checkpoint folder, with partition id and
-    in-partition index columns ``_pid`` / ``_mid``."""
-    ck = materialize(df.orderBy(*keys))
-    return (ck.withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id()))
+    in-partition index columns ``_pid`` / ``_mid`` as they were when it was written."""
+    ordered = df.orderBy(*keys)
+    return staged(ordered.withColumns({"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()}), "sorted")
 
 
 def _attach(ck: DataFrame, small: DataFrame, group_cols: Sequence[str]) -> DataFrame:
