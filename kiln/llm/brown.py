@@ -32,7 +32,9 @@ from kiln.llm.common import give_back, id_bucket, ready, slices, texts_of
 from kiln.llm.shingles import split_words, word_hashes
 from kiln.session import staged
 
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 4_000_000
+# Tokens scored or counted at a time.
+TOKENS_AT_ONCE = 200_000
 # Blocks whose words one bucket adds up: sets the number of buckets, so a bucket's size stays the same.
 BUCKET_BLOCKS = 16
 LEAST_BUCKETS = 64
@@ -55,7 +57,7 @@ def to_planes(x: np.ndarray) -> bytes:
 
 
 def from_planes(x: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+    return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(4, -1).T).view("<i4").ravel()
 
 
 def wide_to_planes(x: np.ndarray) -> bytes:
@@ -233,7 +235,7 @@ def _block_arrays(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _pairs_before(n: np.ndarray, codes: np.ndarray, end: int) -> np.ndarray:
     """The code before each token; before the first of a text stands the end."""
-    before = np.empty(len(codes), np.int64)
+    before = np.empty(len(codes), np.int32)
     before[1:] = codes[:-1]
     before[np.cumsum(n) - n] = end
     return before
@@ -255,7 +257,7 @@ def word_contexts(row: dict, order: np.ndarray, frequent: np.ndarray, of: np.nda
     number = _numbers(words, frequent)
     other, cls = number == len(frequent), of[number]
     train = np.repeat(~held, n)
-    a, b = (x[train].astype(np.int32) for x in (_pairs_before(n, codes, int(np.flatnonzero(words == END)[0])), codes))
+    a, b = (x[train] for x in (_pairs_before(n, codes, int(np.flatnonzero(words == END)[0])), codes))
     del codes, train
     place = np.empty(len(words), np.int64)
     place[order] = np.arange(len(words))
@@ -275,7 +277,10 @@ def _sum_matrix(blocks: DataFrame, size: int, cells) -> np.ndarray:
         for b in batches:
             for row in each_row(b):
                 i, j = cells(row)
-                m += np.bincount(i * size + j, minlength=size * size)
+                for s in range(0, len(i), TOKENS_AT_ONCE):
+                    pair = i[s:s + TOKENS_AT_ONCE].astype(np.int64) * size + j[s:s + TOKENS_AT_ONCE]
+                    m += np.bincount(pair, minlength=size * size)
+                del i, j
         m = m.reshape(size, size)
         rows = np.flatnonzero(m.any(1))
         if len(rows):
@@ -430,11 +435,20 @@ class ClassModel:
         share = totals / np.maximum(self.mass[cls] + (self.mass[-1] if self.size else 0) * (cls == self.end + 1), 1)
         share = np.where(totals > 0, share, 1 / (self.vocabulary + 1))
         base = (totals + 1) / (self.tokens + self.vocabulary + 1)
-        before = cls[_pairs_before(n, codes, end)]
-        p = WEIGHT * self.transition[before, cls[codes]] * share[codes] + (1 - WEIGHT) * base[codes]
-        text = np.repeat(np.arange(len(n)), n)
-        return (np.bincount(text, totals[codes] > 0, len(n)).astype(np.int64),
-                np.bincount(text, np.log10(base)[codes], len(n)), np.bincount(text, np.log10(p), len(n)))
+        log_base, met = np.log10(base), totals > 0
+        before = _pairs_before(n, codes, end)
+        ends = np.cumsum(n)
+        known, bases, scores = np.zeros(len(n), np.int64), np.zeros(len(n)), np.zeros(len(n))
+        for s in range(0, len(codes), TOKENS_AT_ONCE):
+            at = codes[s:s + TOKENS_AT_ONCE]
+            p = WEIGHT * self.transition[cls[before[s:s + TOKENS_AT_ONCE]], cls[at]] * share[at] + (1 - WEIGHT) * base[at]
+            # Texts of this range; one that goes on is added up over ranges.
+            lo, hi = np.searchsorted(ends, (s, s + len(at) - 1), side="right")
+            text = np.repeat(np.arange(hi - lo + 1), np.diff(np.clip(ends[lo:hi + 1], s, s + len(at)), prepend=s))
+            known[lo:hi + 1] += np.bincount(text, met[at], hi - lo + 1).astype(np.int64)
+            bases[lo:hi + 1] += np.bincount(text, log_base[at], hi - lo + 1)
+            scores[lo:hi + 1] += np.bincount(text, np.log10(p), hi - lo + 1)
+        return known, bases, scores
 
 
 def brown_scores(docs: DataFrame) -> DataFrame:
@@ -490,7 +504,7 @@ def brown_scores(docs: DataFrame) -> DataFrame:
 
     def class_pairs(row):
         held, n, codes = _block_arrays(row)
-        cls = np.frombuffer(row["classes"], np.uint8).astype(np.int64)
+        cls = np.frombuffer(row["classes"], np.uint8)
         before = _pairs_before(n, codes, row["end_code"])
         train = np.repeat(~held, n)
         return cls[before[train]], cls[codes[train]]
@@ -503,7 +517,7 @@ def brown_scores(docs: DataFrame) -> DataFrame:
         for b in batches:
             for row in each_row(b):
                 held, n, codes = _block_arrays(row)
-                known, base, s = shared.value.scores(np.frombuffer(row["classes"], np.uint8).astype(np.int64),
+                known, base, s = shared.value.scores(np.frombuffer(row["classes"], np.uint8),
                                                      wide_from_planes(row["totals"]), codes, n, row["end_code"])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(row["ids"], pa.int64()), pa.array(held), pa.array(n, pa.int64()), pa.array(known),
