@@ -273,3 +273,52 @@ def test_every_template_is_found_also_wrapped(spark, classifier):
     df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(cases)], "doc_id long, text string")
     got = {(r["doc_id"], r["family"]) for r in find_licences(df, *classifier).collect()}
     assert [c for i, c in enumerate(cases) if (i, c[0]) not in got] == []
+
+
+# Customary wordings that are no template of the module.
+OTHER_WORDINGS = {
+    "Apache-2.0": "Apache-2.0", "Distributed under Apache 2.0": "Apache-2.0", "This library is licensed under Apache License 2.0": "Apache-2.0",
+    "Licensed under MPL 2.0.": "MPL-2.0", "MPL 2.0": "MPL-2.0", "This file is available under the Mozilla Public License 2.0.": "MPL-2.0",
+    "License: MIT": "MIT", "Code is available under the MIT licence.": "MIT", "All examples are MIT licensed.": None,
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software": "MIT",
+    "Licensed under the GPL v3": "GPL-3.0", "License: GPL-3.0": "GPL-3.0", "GNU GPL version 2 or later": "GPL-2.0",
+    "You may copy it under the terms of the GPLv2.": "GPL-2.0",
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License": "GPL",
+    "Distributed under the terms of the GNU AGPL.": "AGPL-3.0", "Released under the LGPL-2.1 license": "LGPL",
+    "License: BSD-3-Clause": "BSD", "The sources are distributed under the 3-clause BSD license.": "BSD",
+    "The text is available under the CC BY-SA 4.0 license.": "CC-BY-SA", "License: CC-BY-NC-4.0": "CC-BY-NC",
+    "Data released under CC0 1.0": "CC0-1.0", "Released under the ISC licence.": "ISC", "License: Unlicense": "Unlicense",
+}
+
+
+def test_recall_on_other_wordings(spark, classifier):
+    df = spark.createDataFrame(list(enumerate(OTHER_WORDINGS)), "doc_id long, text string")
+    got = {(r["doc_id"], r["family"]) for r in find_licences(df, *classifier).collect()}
+    wanted = [(i, f) for i, f in enumerate(OTHER_WORDINGS.values()) if f]
+    missed = [(list(OTHER_WORDINGS)[i], f) for i, f in wanted if (i, f) not in got]
+    assert len(missed) <= 0.1 * len(wanted), missed
+
+
+def test_no_false_hit_on_plain_sentences(spark, classifier):
+    from kiln.llm.licenses import NO_LICENCE, mixed_words
+    texts = [*NO_LICENCE, *mixed_words()[:300], "The Apache helicopter has two engines.", "MIT and Harvard are in Cambridge.",
+             "The BSD of 1994 ran on a VAX.", "He has a CC of the letter."]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [(texts[r["doc_id"]], r["family"]) for r in find_licences(df, *classifier).collect()] == []
+
+
+def test_the_pattern_leaves_out_nothing(spark, classifier):
+    """With a pattern that lets everything through the notices are the same."""
+    from dataclasses import replace
+    model, threshold = classifier
+    texts = [t for ts in TEMPLATES.values() for t in ts] + list(OTHER_WORDINGS)
+    docs = table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text").unionByName(
+        spark.createDataFrame([(10_000 + i, t) for i, t in enumerate(texts)], "doc_id long, text string"))
+    found = lambda m: sorted(tuple(r) for r in find_licences(docs, m, threshold).select("doc_id", "paragraph", "family").collect())
+    assert found(model) == found(replace(model, pattern=""))
+
+
+def test_licences_with_clashing_columns(spark, classifier):
+    df = spark.createDataFrame([(1, "License: MIT", "p", 0.5, 1, "f")], "doc_id long, text string, paragraph string, probability double, "
+                                                                       "unit int, _grams string")
+    assert [(r["doc_id"], r["family"]) for r in find_licences(df, *classifier).collect()] == [(1, "MIT")]
