@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kiln.operators.columns import columns_of_type
-from kiln.operators.quantiles import quantiles
+from kiln.operators.quantiles import column_quantiles
 
 
 def _is_float(df: DataFrame, c: str) -> bool:
@@ -51,11 +51,8 @@ def fill_constant(df: DataFrame, values: dict | None = None, cols: Sequence[str]
 
 
 def fit_median(df: DataFrame, cols: Sequence[str]) -> FittedFill:
-    """Exact median (mean of the two middle values) of each column, one job for all
-    columns: unpivot to (column, value) and take grouped exact quantiles."""
-    long = df.select([F.col(c).cast("double").alias(c) for c in cols]).unpivot(
-        [], list(cols), "column", "value")
-    got = {r["column"]: r["value"] for r in quantiles(long, "value", [0.5], ["column"]).collect()}
+    """Exact median (mean of the two middle values) of each column, all columns in the same passes."""
+    got = {r["column"]: r["value"] for r in column_quantiles(df, cols, [0.5]).collect()}
     return FittedFill({c: got.get(c) for c in cols})
 
 

@@ -1,172 +1,207 @@
-"""Exact quantiles (linear interpolation, as numpy/pandas ``linear`` and DuckDB
-``quantile_cont``), per group, without holding a whole group in one task.
-
-For every needed rank r (floor and ceil of (n-1)p):
-1. ``percentile_approx`` (bounded-memory sketch with partial aggregation) gives
-   a bracket [a, b]; exact counts ``count(x < a)`` and ``count(a <= x <= b)``
-   verify it, and a side the sketch missed is widened to infinity.
-2. While a band still holds more than ``band_distinct`` distinct values, it is
-   narrowed with an equal-width 1024-bucket histogram (exact counts again).
-3. The band's distinct values with counts are ranked with a window keyed by
-   (group, target); its size is bounded by ``band_distinct``.
-
-Targets live in one wide row per group (arrays indexed by target), so the data
-is joined many-to-one and never replicated except inside narrow bands.
+"""Exact quantiles (linear interpolation, as numpy/pandas ``linear`` and DuckDB ``quantile_cont``) of many columns,
+per group, without unpivoting or caching the table and without holding a group in one task.
+
+1. One pass makes a mergeable sketch per column (``percentile_approx``) of every group and takes from it a bracket
+   [a, b] around each wanted rank.
+2. One pass counts what lies below and in each bracket. A bracket that missed its ranks is opened on that side and
+   counted again; one that still holds more than ``BAND_DISTINCT`` distinct values is narrowed by a sketch of the values
+   in it, some 2,500-fold each time.
+3. One filtered pass keeps the rows of the wide table that lie in some bracket, and only there splits them into
+   (column, value); distinct values are counted and ranked by a window whose size is bounded by ``BAND_DISTINCT``.
+
+Without groups the brackets are literals, so the filter of the last pass reaches the scan. With groups they are one row
+per group, attached by a lookup join that adaptive execution broadcasts by its bytes.
+
+Null and NaN values take no part; a null group is a group; groups without values are absent.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kiln.operators.positions import BROADCAST_ROWS, null_safe_join
+from kiln.operators.positions import null_safe_join
+from kiln.session import staged
 
 ACCURACY = 10_000
 BAND_DISTINCT = 100_000
-BUCKETS = 1024
-MAX_ROUNDS = 400  # each round divides a band by 1024 or drops an empty part: far more than doubles need
+MAX_ROUNDS = 40
 _INF = float("inf")
 
 
-def _with_targets(data: DataFrame, w: DataFrame, group_cols: list[str], small: bool) -> DataFrame:
-    """Attach each group's target arrays to its rows (lookup join, one row per group;
-    broadcast when the number of groups is small)."""
-    return null_safe_join(data, F.broadcast(w) if small else w, group_cols)
-
-
-def _measure(data: DataFrame, w: DataFrame, group_cols: list[str], m: int, small: bool) -> DataFrame:
-    """Exact below/in counts and approximate distinct count of every band (cached)."""
-    j = _with_targets(data, w.select(*group_cols, "_r", "_a", "_b"), group_cols, small)
-    x = F.col("_x")
-    aggs = []
-    for i in range(m):
-        a, b = F.col("_a")[i], F.col("_b")[i]
-        inb = (x >= a) & (x <= b)
-        aggs += [F.count(F.when(x < a, 1)).alias(f"_below{i}"), F.count(F.when(inb, 1)).alias(f"_in{i}"),
-                 F.approx_count_distinct(F.when(inb, x)).alias(f"_nd{i}")]
-    stats = j.groupBy(*group_cols).agg(*aggs)
-    stats = stats.select(*group_cols, *[F.array(*[F.col(f"_{k}{i}") for i in range(m)]).alias(f"_{k}")
-                                        for k in ("below", "in", "nd")])
-    out = null_safe_join(w.drop("_below", "_in", "_nd"), stats, group_cols).cache()
-    out.count()
-    return out
-
-
-def _band_rows(data: DataFrame, w: DataFrame, group_cols: list[str], m: int, small: bool,
-               only_wide: int | None = None):
-    """(group..., _i, _x) for every row inside band i (rows outside all bands vanish)."""
-    j = _with_targets(data, w.select(*group_cols, "_r", "_a", "_b", "_nd"), group_cols, small)
-    x = F.col("_x")
-
-    def inside(i):
-        cond = (x >= F.col("_a")[i]) & (x <= F.col("_b")[i])
-        return cond if only_wide is None else cond & (F.col("_nd")[i] > F.lit(only_wide))
-
-    hits = F.filter(F.sequence(F.lit(0), F.lit(m - 1)), inside)
-    return j.select(*group_cols, F.explode(hits).alias("_i"), x)
-
-
-def _long(w: DataFrame, group_cols: list[str], m: int, cols: Sequence[str]) -> DataFrame:
-    """Wide target arrays -> one row per (group, target index)."""
-    return w.select(*group_cols, F.posexplode(F.arrays_zip(*[F.col(c) for c in cols])).alias("_i", "_z")) \
-            .select(*group_cols, "_i", *[F.col("_z")[c].alias(c) for c in cols])
+def _value(c: str) -> Column:
+    x = F.col(c).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
+class _Brackets:
+    """Targets (column, probability), numbered, and per group arrays over them: values n of the column, bracket [a, b],
+    rows below and inside it, and ranks low and high."""
+
+    def __init__(self, df: DataFrame, cols: Sequence[str], probs: Sequence[float], groups: Sequence[str], accuracy: int):
+        self.keys = [f"_g{i}" for i in range(len(groups))]
+        self.accuracy = accuracy
+        self.data = df.select(*[F.col(g).alias(k) for g, k in zip(groups, self.keys)],
+                              *[_value(c).alias(f"_x{k}") for k, c in enumerate(cols)])
+        self.targets = [(k, float(p)) for k in range(len(cols)) for p in probs]
+        eps = 2.0 / accuracy
+        wanted = F.array(*[F.lit(q) for p in probs for q in (max(0.0, p - eps), min(1.0, p + eps))])
+        sketch = self.data.groupBy(*self.keys).agg(*[x for k in range(len(cols)) for x in (
+            F.count(f"_x{k}").alias(f"n{k}"), F.percentile_approx(f"_x{k}", wanted, accuracy).alias(f"s{k}"))])
+        place = [2 * i for _ in cols for i in range(len(probs))]
+        n = [F.col(f"n{k}") for k, _ in self.targets]
+        last = [(x - 1) * F.lit(p) for x, (_, p) in zip(n, self.targets)]
+        self._hold(sketch.select(
+            *self.keys, F.array(*n).alias("n"), F.array(*[F.col(f"s{k}")[i] for (k, _), i in zip(self.targets, place)]).alias("a"),
+            F.array(*[F.col(f"s{k}")[i + 1] for (k, _), i in zip(self.targets, place)]).alias("b"),
+            F.array(*[F.floor(h) for h in last]).alias("low"), F.array(*[F.ceil(h) for h in last]).alias("high")))
+        self.count()
+
+    def _hold(self, table: DataFrame) -> None:
+        """Without groups there is one row: its numbers become literals. Groups stay in Spark."""
+        if self.keys:
+            self.table = staged(table, "brackets")
+        else:
+            self.row = table.first()
+
+    def at(self, name: str, t: int) -> Column:
+        if self.keys:
+            return F.col(name)[t]
+        value = self.row[name][t]
+        return F.lit(value).cast("double" if name in "ab" else "long")
+
+    def inside(self, t: int) -> Column:
+        x = F.col(f"_x{self.targets[t][0]}")
+        return (x >= self.at("a", t)) & (x <= self.at("b", t))
+
+    def joined(self, *names: str) -> DataFrame:
+        """The data, with each group's arrays."""
+        return null_safe_join(self.data, self.table.select(*self.keys, *names), self.keys) if self.keys else self.data
+
+    def updated(self, aggs: dict[str, list[Column]], keep: Sequence[str]) -> None:
+        """New arrays from aggregates over the data, besides those of ``keep``."""
+        flat = [a.alias(f"{name}{t}") for name, of in aggs.items() for t, a in enumerate(of)]
+        found = self.joined("a", "b").groupBy(*self.keys).agg(*flat)
+        arrays = [F.array(*[F.col(f"{name}{t}") for t in range(len(of))]).alias(name) for name, of in aggs.items()]
+        found = found.select(*self.keys, *arrays)
+        if self.keys:
+            self._hold(null_safe_join(self.table.select(*self.keys, *keep), found, self.keys))
+        else:
+            self.row = {**{k: self.row[k] for k in keep}, **found.first().asDict()}
+
+    def count(self) -> None:
+        """Rows below and inside every bracket; brackets that missed a rank are opened and counted again."""
+        size = range(len(self.targets))
+        kept = ("n", "a", "b", "low", "high")
+        for _ in range(2):
+            self.updated({"below": [F.count_if(F.col(f"_x{k}") < self.at("a", t)) for t, (k, _) in enumerate(self.targets)],
+                          "inside": [F.count_if(self.inside(t)) for t in size]}, kept)
+            early = [self.at("low", t) < self.at("below", t) for t in size]
+            late = [self.at("high", t) >= self.at("below", t) + self.at("inside", t) for t in size]
+            missed = reduce(lambda x, y: x | y, [F.coalesce(c, F.lit(False)) for c in (*early, *late)])
+            a = F.array(*[F.when(c, -_INF).otherwise(self.at("a", t)) for t, c in zip(size, early)])
+            b = F.array(*[F.when(c, _INF).otherwise(self.at("b", t)) for t, c in zip(size, late)])
+            if self.keys:
+                if not self.table.where(missed).count():
+                    return
+                self._hold(self.table.withColumns({"a": a, "b": b}))
+            else:
+                one = self.data.sparkSession.range(1).select(missed.alias("m"), a.alias("a"), b.alias("b")).first()
+                if not one["m"]:
+                    return
+                self.row = {**self.row, "a": one["a"], "b": one["b"]}
+
+    def widest(self) -> int:
+        """Rows of the fullest bracket."""
+        if not self.keys:
+            return max(self.row["inside"], default=0)
+        return self.table.agg(F.max(F.array_max("inside"))).first()[0] or 0
+
+    def distinct(self) -> int:
+        """Distinct values of the fullest bracket, about."""
+        found = self.joined("a", "b").groupBy(*self.keys).agg(F.greatest(F.lit(0), *[
+            F.approx_count_distinct(F.when(self.inside(t), F.col(f"_x{k}"))) for t, (k, _) in enumerate(self.targets)]).alias("m"))
+        return found.agg(F.max("m")).first()[0] or 0
+
+    def narrow(self) -> None:
+        """Brackets from sketches of the values inside the present ones."""
+        eps = 2.0 / self.accuracy
+        share = lambda name, t, d: F.least(F.greatest(
+            F.try_divide(self.at(name, t) - self.at("below", t) + 0.5, self.at("inside", t)) + d, F.lit(0.0)), F.lit(1.0))
+        # The wanted shares differ by group, so the sketch gives evenly spaced ones and the nearest outer two are taken.
+        steps = max(2, int(1 / eps))
+        grid = F.array(*[F.lit(i / steps) for i in range(steps + 1)])
+        sketch = [F.percentile_approx(F.when(self.inside(t), F.col(f"_x{k}")), grid, self.accuracy)
+                  for t, (k, _) in enumerate(self.targets)]
+        kept = ("n", "a", "b", "low", "high", "below", "inside")
+        self.updated({"sketch": sketch}, kept)
+        size = range(len(self.targets))
+        first = [F.floor(share("low", t, -eps) * steps).cast("int") for t in size]
+        last = [F.least(F.ceil(share("high", t, eps) * steps).cast("int"), F.lit(steps)) for t in size]
+        if self.keys:
+            cut = lambda t, i: F.get(F.col("sketch")[t], i)
+            self._hold(self.table.withColumns({
+                "a": F.array(*[F.coalesce(cut(t, i), self.at("a", t)) for t, i in zip(size, first)]),
+                "b": F.array(*[F.coalesce(cut(t, i), self.at("b", t)) for t, i in zip(size, last)])}))
+        else:
+            one = self.data.sparkSession.range(1).select(F.array(*first).alias("i"), F.array(*last).alias("j")).first()
+            pick = lambda t, i, old: old if self.row["sketch"][t] is None or i is None else self.row["sketch"][t][i]
+            self.row = {**self.row, "a": [pick(t, one["i"][t], self.row["a"][t]) for t in size],
+                        "b": [pick(t, one["j"][t], self.row["b"][t]) for t in size]}
+        self.count()
+
+    def values(self) -> DataFrame:
+        """(keys, t, low value, high value) of every target with values."""
+        size = range(len(self.targets))
+        rows = self.joined("a", "b").where(reduce(lambda x, y: x | y, [self.inside(t) for t in size]))
+        hits = F.array(*[F.when(self.inside(t), F.struct(F.lit(t).alias("t"), F.col(f"_x{k}").alias("x")))
+                         for t, (k, _) in enumerate(self.targets)])
+        found = rows.select(*self.keys, F.inline(F.filter(hits, lambda h: h.isNotNull()))).groupBy(*self.keys, "t", "x").count()
+        upto = Window.partitionBy(*self.keys, "t").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+        found = found.withColumn("upto", F.sum("count").over(upto))
+        if self.keys:
+            known = self.table.select(*self.keys, F.posexplode(F.arrays_zip("low", "high", "below")).alias("t", "z")).select(
+                *self.keys, "t", "z.low", "z.high", "z.below")
+        else:
+            known = self.data.sparkSession.createDataFrame(
+                [(t, self.row["low"][t], self.row["high"][t], self.row["below"][t]) for t in size if self.row["n"][t]],
+                "t int, low long, high long, below long")
+        found = null_safe_join(found, known, [*self.keys, "t"])
+        end = F.col("below") + F.col("upto")
+        holds = lambda r: (end - F.col("count") <= F.col(r)) & (F.col(r) < end)
+        return (found.where(holds("low") | holds("high")).groupBy(*self.keys, "t")
+                .agg(F.max(F.when(holds("low"), F.col("x"))).alias("x0"), F.max(F.when(holds("high"), F.col("x"))).alias("x1")))
+
+
+def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], group_cols: Sequence[str] = (),
+                     accuracy: int = ACCURACY, band_distinct: int = BAND_DISTINCT) -> DataFrame:
+    """Rows (group..., column, p, value): exact linear-interpolation quantiles of the non-null, non-NaN values."""
+    groups = list(group_cols)
+    w = _Brackets(df, cols, probs, groups, accuracy)
+    for _ in range(MAX_ROUNDS):
+        # Fewer rows have no more distinct values.
+        if w.widest() <= band_distinct or w.distinct() <= band_distinct:
+            break
+        w.narrow()
+    found = w.values()
+    n = (F.map_from_arrays(F.array(*[F.lit(t) for t in range(len(w.targets))]), F.col("n"))[F.col("t")] if groups else
+         F.array(*[F.lit(x).cast("long") for x in w.row["n"]])[F.col("t")])
+    if groups:
+        found = null_safe_join(found, w.table.select(*w.keys, "n"), w.keys)
+    names = F.array(*[F.lit(cols[k]) for k, _ in w.targets])
+    ps = F.array(*[F.lit(p) for _, p in w.targets])
+    h = (n - 1) * ps[F.col("t")]
+    return found.select(*[F.col(k).alias(g) for k, g in zip(w.keys, groups)], names[F.col("t")].alias("column"), ps[F.col("t")].alias("p"),
+                        (F.col("x0") + (h - F.floor(h)) * (F.col("x1") - F.col("x0"))).alias("value"))
 
 
 def quantiles(df: DataFrame, x: str, probs: Sequence[float], group_cols: Sequence[str] = (),
               accuracy: int = ACCURACY, band_distinct: int = BAND_DISTINCT) -> DataFrame:
-    """Rows (group..., p, value): exact linear-interpolation quantile of the
-    non-null, non-NaN values of ``x``. Groups without values are absent."""
-    user_groups = list(group_cols)
-    # The global case is the single group "_g".
-    group_cols = user_groups or ["_g"]
-    probs = [float(p) for p in probs]
-    m = 2 * len(probs)
-    keys = [F.col(c) for c in user_groups] or [F.lit(0).alias("_g")]
-    # Every pass reads only (group, value); keep that projection (memory, spilling to disk)
-    # so an expensive input (a join, a parse) is computed once, not once per pass.
-    data = (df.select(*keys, F.col(x).cast("double").alias("_x"))
-              .filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
-              .persist(StorageLevel.MEMORY_AND_DISK))
-
-    eps = 2.0 / accuracy
-    sk = data.groupBy(*group_cols).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_x", [max(0.0, p - eps) for p in probs], accuracy).alias("_alo"),
-        F.percentile_approx("_x", [min(1.0, p + eps) for p in probs], accuracy).alias("_ahi"))
-    ranks, lo_b, hi_b = [], [], []
-    for k, p in enumerate(probs):
-        h = (F.col("_n") - 1) * F.lit(p)
-        ranks += [F.floor(h), F.ceil(h)]
-        lo_b += [F.col("_alo")[k]] * 2
-        hi_b += [F.col("_ahi")[k]] * 2
-    w = sk.select(*group_cols, "_n", F.array(*[r.cast("long") for r in ranks]).alias("_r"),
-                  F.array(*lo_b).alias("_a"), F.array(*hi_b).alias("_b")).cache()
-    small = w.count() <= BROADCAST_ROWS
-    w = _measure(data, w, group_cols, m, small)
-    idx = range(m)
-    below, inn, r = F.col("_below"), F.col("_in"), F.col("_r")
-    missed = F.exists(F.sequence(F.lit(0), F.lit(m - 1)), lambda i: (r[i] < below[i]) | (r[i] >= below[i] + inn[i]))
-    wide_any = F.max(F.exists("_nd", lambda v: v > band_distinct).cast("int"))
-    flags = w.agg(F.max(missed.cast("int")).alias("missed"), wide_any.alias("wide")).first()
-    wide = bool(flags["wide"])
-    if flags["missed"]:
-        # The sketch missed some rank (rare): open that side of the bracket and count again.
-        w = w.select(*group_cols, "_n", "_r",
-                     F.array(*[F.when(r[i] < below[i], F.lit(-_INF)).otherwise(F.col("_a")[i]) for i in idx])
-                     .alias("_a"),
-                     F.array(*[F.when(r[i] >= below[i] + inn[i], F.lit(_INF)).otherwise(F.col("_b")[i])
-                               for i in idx]).alias("_b"))
-        w = _measure(data, w, group_cols, m, small)
-        wide = bool(w.agg(wide_any).first()[0])
-
-    for _ in range(MAX_ROUNDS):
-        if not wide:
-            break
-        band = _band_rows(data, w, group_cols, m, small, only_wide=band_distinct)
-        tl = _long(w, group_cols, m, ["_r", "_a", "_b", "_below"])
-        band = null_safe_join(band, tl, [*group_cols, "_i"])
-        lo = F.greatest(F.col("_a"), F.lit(-1.7e308))
-        width = (F.least(F.col("_b"), F.lit(1.7e308)) - lo) / BUCKETS
-        bucket = F.when(width > 0, F.least(F.floor((F.col("_x") - lo) / width), F.lit(BUCKETS - 1))).otherwise(0)
-        hist = band.groupBy(*group_cols, "_i", "_r", "_below", bucket.cast("int").alias("_k")).agg(
-            F.count(F.lit(1)).alias("_c"), F.min("_x").alias("_kmin"), F.max("_x").alias("_kmax"))
-        wk = Window.partitionBy(*group_cols, "_i").orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
-        hist = hist.withColumn("_cb", F.coalesce(F.sum("_c").over(wk), F.lit(0)) + F.col("_below"))
-        pick = hist.filter((F.col("_cb") <= F.col("_r")) & (F.col("_r") < F.col("_cb") + F.col("_c")))
-        upd = pick.groupBy(*group_cols).agg(F.map_from_entries(F.collect_list(
-            F.struct("_i", F.struct(F.col("_kmin").alias("a"), F.col("_kmax").alias("b"))))).alias("_upd"))
-        nw = null_safe_join(w, upd, group_cols, "left")
-        nw = nw.select(*group_cols, "_n", "_r",
-                       F.array(*[F.coalesce(F.col("_upd")[i]["a"], F.col("_a")[i]) for i in idx]).alias("_a"),
-                       F.array(*[F.coalesce(F.col("_upd")[i]["b"], F.col("_b")[i]) for i in idx]).alias("_b"))
-        w = _measure(data, nw, group_cols, m, small)
-        wide = bool(w.agg(wide_any).first()[0])
-
-    band = _band_rows(data, w, group_cols, m, small)
-    vc = band.groupBy(*group_cols, "_i", "_x").agg(F.count(F.lit(1)).alias("_c"))
-    wv = Window.partitionBy(*group_cols, "_i").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
-    vc = vc.withColumn("_cum", F.sum("_c").over(wv))
-    tl = _long(w, group_cols, m, ["_r", "_below"])
-    vc = null_safe_join(vc, tl, [*group_cols, "_i"])
-    hit = vc.filter((F.col("_below") + F.col("_cum") - F.col("_c") <= F.col("_r")) &
-                    (F.col("_r") < F.col("_below") + F.col("_cum")))
-    vals = hit.groupBy(*group_cols).agg(F.map_from_entries(F.collect_list(F.struct("_i", "_x"))).alias("_v"))
-    vals = null_safe_join(vals, w.select(*group_cols, "_n"), group_cols)
-    out = []
-    for k, p in enumerate(probs):
-        h = (F.col("_n") - 1) * F.lit(p)
-        frac = h - F.floor(h)
-        vlo, vhi = F.col("_v")[2 * k], F.col("_v")[2 * k + 1]
-        out.append(F.struct(F.lit(p).alias("p"), (vlo + frac * (vhi - vlo)).alias("value")))
-    res = vals.select(*user_groups, F.explode(F.array(*out)).alias("_q")).select(*user_groups, "_q.p", "_q.value")
-    res = res.cache()  # groups x probs rows
-    res.count()
-    data.unpersist()
-    w.unpersist()
-    return res
+    """Rows (group..., p, value) of one column."""
+    return column_quantiles(df, [x], probs, group_cols, accuracy, band_distinct).drop("column")
 
 
 def quantile_values(df: DataFrame, x: str, probs: Sequence[float]) -> list[float | None]:

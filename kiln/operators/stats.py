@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from kiln.functions import numeric
 from kiln.operators.missing import mode_of
 from kiln.operators.positions import null_safe_join
-from kiln.operators.quantiles import quantiles
+from kiln.operators.quantiles import column_quantiles, quantiles
 from kiln.session import spread
 
 # Aggregate expressions per job when a statistic needs one per column pair.
@@ -60,9 +60,8 @@ def basic_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """A3: exact median per column, one grouped-quantile job over the unpivoted columns."""
-    long = df.select([numeric(c).alias(c) for c in cols]).unpivot([], list(cols), "column", "value")
-    return quantiles(long, "value", [0.5], ["column"]).select("column", F.col("value").alias("median"))
+    """A3: exact median per column, all columns in the same passes."""
+    return column_quantiles(df, cols, [0.5]).select("column", F.col("value").alias("median"))
 
 
 def modes(df: DataFrame, cols: Sequence[str]) -> dict:

@@ -1,9 +1,10 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from kiln.operators.positions import positions, running_sum
-from kiln.operators.quantiles import quantiles
+from kiln.operators.quantiles import column_quantiles, quantiles
 
 
 def _frame(spark, values, groups=None):
@@ -58,3 +59,28 @@ def test_running_sum(spark):
     for g, part in got.groupby("g"):
         part = part.sort_values("id")
         assert np.allclose(part.cum.values, np.cumsum(part.v.values))
+
+
+def test_many_columns_and_groups_in_the_same_passes(spark):
+    r = np.random.default_rng(11)
+    n = 4000
+    pdf = pd.DataFrame({"a": r.normal(size=n), "b": r.integers(0, 4, n).astype(float), "c": np.full(n, np.nan),
+                        "d": np.where(r.random(n) < 0.5, 7.0, r.normal(0, 1e9, n)),
+                        "g": r.choice(["hot"] * 8 + ["x", "y", None], n)})
+    pdf.loc[::7, "a"] = np.nan
+    df = spark.createDataFrame(pdf)
+    for accuracy, band in ((10_000, 100_000), (50, 20)):
+        got = {(x["column"], x["p"]): x["value"] for x in
+               column_quantiles(df, ["a", "b", "c", "d"], [0.0, 0.3, 0.5, 1.0], accuracy=accuracy, band_distinct=band).collect()}
+        assert {c for c, _ in got} == {"a", "b", "d"} and len(got) == 12
+        for (c, p), v in got.items():
+            assert v == pytest.approx(pdf[c].quantile(p))
+        got = {(x["g"], x["column"], x["p"]): x["value"] for x in
+               column_quantiles(df, ["a", "d"], [0.25, 0.5], ["g"], accuracy=accuracy, band_distinct=band).collect()}
+        groups = {**dict(list(pdf.groupby("g"))), None: pdf[pdf["g"].isna()]}
+        assert len(got) == 4 * len(groups)
+        for (g, c, p), v in got.items():
+            part = groups[g]
+            assert v == pytest.approx(part[c].quantile(p))
+    assert column_quantiles(df.where("false"), ["a", "b"], [0.5]).count() == 0
+    assert column_quantiles(df.where("false"), ["a"], [0.5], ["g"]).count() == 0
