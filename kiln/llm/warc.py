@@ -40,6 +40,8 @@ REVISIT_BYTES = 1000
 BLOCK_LINES = 1000
 # Neighbouring records are fetched in one read up to this many bytes.
 READ_BYTES = 4 << 20
+# Archive bytes that one task reads back, and the tasks that read at least.
+PART_BYTES, LEAST_READERS = 64 << 20, 16
 GZIP_LEVEL = 4
 RECORD_TIME = "1970-01-01T00:00:00Z"
 
@@ -307,8 +309,10 @@ def read_records(captures: DataFrame, folder: str) -> DataFrame:
         if held:
             yield fetch(system, path, held)
 
-    spots = captures.select("file", "offset", "length").distinct()
-    return (spots.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset").mapInArrow(read, schema))
+    spots = staged(captures.select("file", "offset", "length").distinct(), "spots")
+    # The rows are tiny, what they stand for is not: as many tasks as the records' bytes ask for.
+    tasks = max(LEAST_READERS, -(-(spots.agg(F.sum("length")).first()[0] or 0) // PART_BYTES))
+    return (spots.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset").mapInArrow(read, schema))
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
