@@ -5,7 +5,7 @@ per group, without unpivoting or caching the table and without holding a group i
    [a, b] around each wanted rank.
 2. One pass counts what lies below and in each bracket. A bracket that missed its ranks is opened on that side and
    counted again; one that still holds more than ``BAND_DISTINCT`` distinct values is narrowed by a sketch of the values
-   in it, some 2,500-fold each time.
+   in it, some 250-fold each time.
 3. One filtered pass keeps the rows of the wide table that lie in some bracket, and only there splits them into
    (column, value); distinct values are counted and ranked by a window whose size is bounded by ``BAND_DISTINCT``.
 
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from kiln.operators.positions import null_safe_join
 from kiln.session import staged
 
-ACCURACY = 10_000
+ACCURACY = 1_000
 BAND_DISTINCT = 100_000
 MAX_ROUNDS = 40
 _INF = float("inf")
