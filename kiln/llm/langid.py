@@ -178,11 +178,13 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "
 
 
 def _determined(profiles: Profiles, texts: list[str]) -> list[bool]:
+    if not profiles.langs:  # nothing learned: only letters can tell
+        return [any(map(str.isalpha, t)) for t in texts]
     return [lang != UNDETERMINED for lang in profiles.predict(texts)[0]]
 
 
 def drop_undetermined(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text") -> DataFrame:
-    """The rows whose text has a language: those without any letter go."""
+    """The rows whose text has a language: those without any letter go, also if no language was learned."""
     held = ready(docs.sparkSession).sparkContext.broadcast(Profiles(*model))
     return keep_texts(docs, held, _determined, text)
 

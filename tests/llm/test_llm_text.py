@@ -7,11 +7,12 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from kiln.llm import brown
 from kiln.llm.brown import CLASSES, SLOTS, best_classes, brown_scores, exchange_classes
 from kiln.llm.decontaminate import RADIUS, ItemIndex, drop_leaking, find_leaks, words_of
-from kiln.llm.langid import fit_prototypes, identify, trigrams
+from kiln.llm.langid import drop_undetermined, fit_prototypes, identify, trigrams
 from kiln.llm.licenses import TEMPLATES, find_licences, train_classifier
 from kiln.llm.toxicity import fit_toxicity, ftrl, op5_toxicity, score_toxicity
 from kiln.sources.tables import table
@@ -44,6 +45,12 @@ def test_language_edge_cases(spark):
     assert identify(df.where("false"), model).count() == 0
 
 
+def test_texts_stay_if_no_language_was_learned(spark):
+    df = spark.createDataFrame([(1, "some text"), (2, "12 !"), (3, None), (4, "é")], "doc_id long, text string")
+    nothing = fit_prototypes(df.withColumn("lang", F.lit(None).cast("string")))
+    assert sorted(r["doc_id"] for r in drop_undetermined(df, nothing).collect()) == [1, 4]
+
+
 def test_trigrams_count_word_borders():
     doc, gram, count = trigrams(["ab  ab, c", "", "ab"])
     per = Counter(dict(zip(zip(doc.tolist(), gram.tolist()), count.tolist())))
