@@ -105,3 +105,35 @@ def test_soft_vote_weights(spark):
     df = spark.createDataFrame([(0.2, 1.0)], "p_a double, p_b double")
     got = tuning.soft_vote(df, ["p_a", "p_b"], [0.7, 0.3]).first()["generated"]
     assert got == pytest.approx(0.7 * 0.2 + 0.3 * 1.0)
+
+
+def test_network_rows_are_written_once_as_blocks_and_steps_equal_plain_descent(spark, monkeypatch):
+    from kiln.operators.models import gradient as G
+
+    r = np.random.default_rng(3)
+    data = [(float(a), float(b), float(a - 2 * b)) for a, b in r.normal(size=(700, 2))]
+    df = spark.createDataFrame(data, "a double, b double, y double").repartition(3)
+    monkeypatch.setattr(G, "BLOCK_ROWS", 100)
+    written, kept = [], G.staged
+    monkeypatch.setattr(G, "staged", lambda d, name: written.append(kept(d, name)) or written[-1])
+    fit = G.mlp_regressor(df, ["a", "b"], "y", hidden=(4,), epochs=5, lr=0.1)
+    assert len(written) == 1
+    assert sum(b["rows"] for b in written[0].collect()) == len(data)
+    p = G.mlp_regressor(df, ["a", "b"], "y", hidden=(4,), epochs=0).params.copy()
+    v = np.array(data)
+    mom, vel = np.zeros_like(p), np.zeros_like(p)
+    for t in range(1, 6):
+        g = G._grad(p, (2, 4, 1), v[:, :2], v[:, 2]) / len(v)
+        mom, vel = 0.9 * mom + 0.1 * g, 0.999 * vel + 0.001 * g ** 2
+        p = p - 0.1 * (mom / (1 - 0.9 ** t)) / (np.sqrt(vel / (1 - 0.999 ** t)) + 1e-8)
+    assert np.allclose(fit.params, p, rtol=0, atol=1e-9)
+    assert max(len(block) for b in G._blocks(iter(df.toArrow().to_batches())) for block in b["numbers"].to_pylist()) <= 100 * 3 * 8
+
+
+def test_kernel_columns_fit_a_cache_and_equal_the_formula():
+    from kiln.operators.models import kernel_basis as K
+
+    assert K.ROWS_AT_ONCE * (K.BASIS + K.ADDING * K.ADDED) * 8 <= 4 << 20
+    a, b = np.random.default_rng(1).normal(size=(50, 3)), np.random.default_rng(2).normal(size=(7, 3))
+    want = np.exp(-0.3 * ((a[:, None, :] - b[None, :, :]) ** 2).sum(2))
+    assert np.allclose(K.rbf(a, b, 0.3), want, atol=1e-12)
