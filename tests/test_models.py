@@ -136,3 +136,17 @@ def test_kernel_columns_equal_the_formula():
     a, b = np.random.default_rng(1).normal(size=(50, 3)), np.random.default_rng(2).normal(size=(7, 3))
     want = np.exp(-0.3 * ((a[:, None, :] - b[None, :, :]) ** 2).sum(2))
     assert np.allclose(K.rbf(a, b, 0.3), want, atol=1e-12)
+
+
+def test_tree_fits_get_rows_spread_over_the_cores(spark, monkeypatch):
+    cores, seen = spark.sparkContext.defaultParallelism, []
+    monkeypatch.setattr(mllib, "fit_pipeline", lambda df, *a, **k: seen.append(df.rdd.glom().map(len).collect()))
+    one = spark.range(0, 20000, 1, 1).selectExpr("cast(id as double) x", "id % 2 y")
+    mllib.random_forest_classifier(one, ["x"], "y", n_trees=100)
+    mllib.random_forest_regressor(spark.range(0, 20000, 1, 64).selectExpr("id x", "id y"), ["x"], "y", n_trees=100)
+    mllib.gbt_regressor(one, ["x"], "y", n_estimators=100)
+    for parts in seen:
+        assert len(parts) == cores and sum(parts) == 20000 and max(parts) < 2 * 20000 / cores
+    seen.clear()
+    mllib.gbt_classifier(one.limit(100), ["x"], "y", n_estimators=100)  # few rows stay where they are
+    assert len(seen[0]) == 1
