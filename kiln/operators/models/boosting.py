@@ -17,7 +17,7 @@ from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.operators.models.base import assembler
+from kiln.operators.models.base import assembler, tree_rows
 from kiln.operators.models.linear_algebra import argmax_label
 from kiln.session import materialize
 
@@ -69,15 +69,13 @@ def _release(held: list) -> None:
         df.unpersist()
 
 
-def _next_weights(data: DataFrame, held: list, m: int) -> list:
-    """The next round's weights, computed; earlier rounds' copies are released as soon as they are not needed."""
-    if (m + 1) % CHECKPOINT_EVERY == 0:
-        data = materialize(data)
-    else:
-        data = data.cache()
-        data.count()
+def _next_weights(data: DataFrame, held: list, m: int) -> tuple[list, float]:
+    """The next round's weights, computed, and their sum; earlier rounds' copies are released as soon as they are
+    not needed."""
+    data = materialize(data) if (m + 1) % CHECKPOINT_EVERY == 0 else data.cache()
+    total = data.agg(F.sum("_w")).first()[0]
     _release(held)
-    return [data]
+    return [data], total
 
 
 def adaboost_classifier(df: DataFrame, features: Sequence[str], label: str, n_estimators: int = 50,
@@ -87,7 +85,7 @@ def adaboost_classifier(df: DataFrame, features: Sequence[str], label: str, n_es
     n = data.count()
     classes = sorted(r[0] for r in data.select("_y").distinct().collect())
     k = len(classes)
-    data = materialize(data.select("features", "_y", F.lit(1.0 / n).alias("_w")))
+    data = materialize(tree_rows(data.select("features", "_y", F.lit(1.0 / n).alias("_w")), n_estimators, n))
     fit, held = FittedAdaBoost(tuple(features), classes=classes), []
     for m in range(n_estimators):
         tree = DecisionTreeClassifier(maxDepth=1, labelCol="_y", weightCol="_w", seed=m).fit(data)
@@ -108,7 +106,7 @@ def adaboost_classifier(df: DataFrame, features: Sequence[str], label: str, n_es
         fit.alphas.append(alpha)
         total = (1 - err) + err * math.exp(alpha)  # weights sum to 1 before the update
         data = pred.select("features", "_y", (F.col("_w") * F.exp(F.lit(alpha) * miss) / total).alias("_w"))
-        held = _next_weights(data, held, m)
+        held, _ = _next_weights(data, held, m)
         data = held[-1]
     _release(held)
     return fit
@@ -119,18 +117,19 @@ def adaboost_regressor(df: DataFrame, features: Sequence[str], label: str, n_est
     """AdaBoost.R2 with linear loss (weighted fits instead of weighted resampling)."""
     data = assembler(features).transform(df.select(*features, F.col(label).cast("double").alias("_y")))
     n = data.count()
-    data = materialize(data.select("features", "_y", F.lit(1.0 / n).alias("_w")))
+    data = materialize(tree_rows(data.select("features", "_y", F.lit(1.0 / n).alias("_w")), n_estimators, n))
     fit, held = FittedAdaBoost(tuple(features)), []
     for m in range(n_estimators):
         tree = DecisionTreeRegressor(maxDepth=max_depth, labelCol="_y", weightCol="_w", seed=m).fit(data)
         pred = _named(tree, 0).transform(data).withColumn("_e", F.abs(F.col("_p0") - F.col("_y")))
-        emax = pred.agg(F.max("_e")).first()[0]
+        # One pass: the losses are the errors over the largest.
+        emax, wrong, total = pred.agg(F.max("_e"), F.sum(F.col("_w") * F.col("_e")), F.sum("_w")).first()
         if not emax:
             fit.stumps.append(tree)
             fit.alphas.append(1.0)
             break
         loss = F.col("_e") / emax
-        avg = pred.agg((F.sum(F.col("_w") * loss) / F.sum("_w")).alias("l")).first()["l"]
+        avg = wrong / emax / total
         if avg >= 0.5:
             if not fit.stumps:
                 fit.stumps.append(tree)
@@ -140,10 +139,7 @@ def adaboost_regressor(df: DataFrame, features: Sequence[str], label: str, n_est
         fit.stumps.append(tree)
         fit.alphas.append(learning_rate * math.log(1 / beta))
         upd = F.col("_w") * F.pow(F.lit(beta), (1 - loss) * learning_rate)
-        data = pred.select("features", "_y", upd.alias("_w"))
-        tot = data.agg(F.sum("_w")).first()[0]
-        data = data.withColumn("_w", F.col("_w") / tot)
-        held = _next_weights(data, held, m)
-        data = held[-1]
+        held, total = _next_weights(pred.select("features", "_y", upd.alias("_w")), held, m)
+        data = held[-1].withColumn("_w", F.col("_w") / total)
     _release(held)
     return fit

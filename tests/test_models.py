@@ -150,3 +150,12 @@ def test_tree_fits_get_rows_spread_over_the_cores(spark, monkeypatch):
     seen.clear()
     mllib.gbt_classifier(one.limit(100), ["x"], "y", n_estimators=100)  # few rows stay where they are
     assert len(seen[0]) == 1
+
+
+def test_boosted_regressor_reads_errors_and_weights_in_two_passes_a_round(spark, monkeypatch):
+    df = spark.range(0, 300, 1, 2).selectExpr("cast(id % 17 as double) x", "cast(id * id % 101 as double) y")
+    calls, agg = [], type(df).agg
+    monkeypatch.setattr(type(df), "agg", lambda self, *e: calls.append(1) or agg(self, *e))
+    fit = boosting.adaboost_regressor(df, ["x"], "y", n_estimators=3)
+    assert len(fit.stumps) == 3 and len(calls) <= 6
+    assert fit.transform(df).where("prediction is null").count() == 0
