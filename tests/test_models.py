@@ -159,3 +159,15 @@ def test_boosted_regressor_reads_errors_and_weights_in_two_passes_a_round(spark,
     fit = boosting.adaboost_regressor(df, ["x"], "y", n_estimators=3)
     assert len(fit.stumps) == 3 and len(calls) <= 6
     assert fit.transform(df).where("prediction is null").count() == 0
+
+
+def test_submission_reads_the_texts_once(spark, tmp_path):
+    from kiln.plans import models
+
+    docs = spark.range(40).selectExpr("id doc_id", "repeat('Some Words 12. ', cast(id % 7 as int)) text")
+    docs.selectExpr("*", "length(text) n_chars").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.range(20).selectExpr("id doc_id", "cast(id % 2 as int) quality").write.parquet(str(tmp_path / "labels.parquet"))
+    done = models.q_submission(spark, str(tmp_path))
+    assert done.count() == 20
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert "InMemoryTableScan" in plan
