@@ -11,7 +11,11 @@ Search, in two rounds. First every query is compared with the cells nearest to i
 distance bounds the answer. Then it is sent to the pages that this bound and the triangle inequality cannot
 rule out, by three tests: the cell's radius, the plane halfway between the two pivots, and the page's ring of
 distances. No other page can hold a neighbour, so the second round proves the answer. Queries travel in blocks,
-joined with pages by cell, and a pair of page and block is compared with numpy.
+joined with pages by cell, and a pair of page and block is compared with numpy. Where the tests leave a query more than
+``COPIES`` cells on average (many dimensions, no clusters), queries would travel too often. Then both sides are dealt to a
+grid instead, ``SIDES`` parts or more a side, each of about ``PART_NUMBERS`` numbers: every part of queries meets every
+part of pages once, and the same tests are made there, page by page. So a row travels a fixed number of times, and the
+distances that remain are screened by a matrix product whose rounding is bounded, then computed as elsewhere.
 
 Distances are squared Euclidean, summed dimension by dimension; ties go to the smaller training id. Training rows
 without id or vector, or with a null, NaN or infinite component, take no part, and queries with such a vector have
@@ -36,6 +40,10 @@ PAGE_ROWS = 512
 BLOCK_QUERIES = 256
 # Bounds are loosened by this share, far more than the rounding of the distances.
 SLACK = 1e-9
+# Cells that a query may be sent to on average; sides of the grid at least, numbers of one of its parts.
+COPIES, SIDES, PART_NUMBERS = 16, 8, 4_000_000
+# Queries of a part compared with a page at once; rounding of a distance by products, per dimension and squared length.
+TILE, ROUNDING = 4096, 1e-15
 
 
 def finite(vec: str) -> Column:
@@ -52,6 +60,15 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def pair_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared distances of a's rows to b's, one by one, summed as by :func:`distances`."""
+    out = np.zeros(len(a))
+    for j in range(a.shape[1]):
+        diff = a[:, j] - b[:, j]
+        out += diff * diff
+    return out
+
+
 def matrix(column: pa.Array, dims: int) -> np.ndarray:
     """Rows of an Arrow list column."""
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
@@ -152,7 +169,7 @@ def build_pages(rows: DataFrame, cells: Cells, dims: int) -> DataFrame:
 
 
 def sorted_queries(query: DataFrame, cells: Cells, dims: int) -> DataFrame:
-    """(row, qid, v) in the order of the nearest pivot, so that a batch's queries ask for the same cells."""
+    """(row, qid, v, home) in the order of the nearest pivot ``home``, so that a batch's queries ask for the same cells."""
     kind = query.schema["qid"].dataType.simpleString()
     sent = query.sparkSession.sparkContext.broadcast(cells.pivots)
 
@@ -165,7 +182,7 @@ def sorted_queries(query: DataFrame, cells: Cells, dims: int) -> DataFrame:
 
     homed = spread(query).mapInArrow(home, f"home int, qid {kind}, v array<double>")
     return staged(homed.repartitionByRange("home", F.xxhash64("qid")).sortWithinPartitions("home")
-                  .select(F.monotonically_increasing_id().alias("row"), "qid", "v"), "queries")
+                  .select(F.monotonically_increasing_id().alias("row"), "qid", "v", "home"), "queries")
 
 
 def _routed(queries: DataFrame, cells: Cells, dims: int, k: int, kind: str) -> DataFrame:
@@ -251,6 +268,110 @@ def _hits(pages: DataFrame, blocks: DataFrame, dims: int, k: int, exclude_self:
     return met.drop("low", "high", "n", "cell").mapInArrow(run, f"row long, dist double, tid {tid}, label {label}")
 
 
+def open_pairs(known: DataFrame, cells: Cells, dims: int) -> int:
+    """Pairs of a query (v, bound) and a cell that its bound leaves open."""
+    sent = known.sparkSession.sparkContext.broadcast(cells)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = 0
+        for b in batches:
+            v, bound = matrix(b.column("v"), dims), b.column("bound").to_numpy()
+            for s in range(0, len(v), 2048):
+                total += int(sent.value.open_cells(np.sqrt(distances(v[s:s + 2048], sent.value.pivots)), bound[s:s + 2048]).sum())
+        yield pa.RecordBatch.from_arrays([pa.array([total], pa.int64())], ["pairs"])
+
+    return known.select("v", "bound").mapInArrow(run, "pairs long").agg(F.sum("pairs")).first()[0] or 0
+
+
+def near_pairs(q: np.ndarray, page: np.ndarray, bound: np.ndarray, own: Callable[[np.ndarray, np.ndarray], np.ndarray] | None,
+               k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """:func:`nearest_in_page` for pairs within the squared ``bound``, screened by a matrix product; own: pairs that do not count."""
+    qn, pn = (q * q).sum(1), (page * page).sum(1)
+    a = qn[:, None] + pn[None, :] - 2 * (q @ page.T)
+    if own is not None:
+        a[own(np.arange(len(q))[:, None], np.arange(len(page))[None, :])] = np.inf
+    error = ROUNDING * (q.shape[1] + 8) * (np.sqrt(qn) + np.sqrt(pn.max())) ** 2
+    limit = bound + error
+    keep = ~(a > limit[:, None])  # also what overflowed
+    wide = np.flatnonzero(keep.sum(1) > 4 * k)
+    if len(wide):
+        limit[wide] = np.fmin(limit[wide], np.partition(a[wide], k - 1, axis=1)[:, k - 1] + 2 * error[wide])
+        keep[wide] = ~(a[wide] > limit[wide, None])
+    qi, pi = np.nonzero(keep)
+    if own is not None:
+        counts = ~own(qi, pi)
+        qi, pi = qi[counts], pi[counts]
+    d = pair_distances(q[qi], page[pi])
+    good = (d <= bound[qi]) & np.isfinite(d)
+    qi, pi, d = qi[good], pi[good], d[good]
+    order = np.lexsort((pi, d, qi))
+    qi, pi, d = qi[order], pi[order], d[order]
+    first = np.arange(len(qi)) - np.searchsorted(qi, qi) < k
+    return qi[first], pi[first], d[first]
+
+
+def _grid_hits(pages: DataFrame, known: DataFrame, cells: Cells, dims: int, k: int, exclude_self: bool, queries: int) -> DataFrame:
+    """(row, dist, tid, label): the k nearest at least of every query (row, qid, v, home, bound) in each part of the pages."""
+    tid, label = (pages.schema[x].dataType.elementType.simpleString() for x in ("tids", "labels"))
+    sent = known.sparkSession.sparkContext.broadcast(cells)
+    down, across = (max(SIDES, -(-n * dims // PART_NUMBERS)) for n in (queries, int(cells.rows.sum())))
+
+    def part(own_side: Column, other: int, step: int, other_step: int) -> Column:
+        others = F.sequence(F.lit(0), F.lit(other - 1))
+        return F.explode(F.transform(others, lambda o: (own_side * step + o * other_step).cast("int"))).alias("part")
+
+    asked = known.select(part(F.pmod(F.xxhash64("row"), F.lit(down)), across, across, 1), "row", "qid", "home", "v", "bound")
+    held = pages.select(part(F.pmod(F.xxhash64("cell", "near", "far"), F.lit(across)), down, 1, across), "cell", "near", "far", "n",
+                        "tids", "labels", "vectors")
+
+    def run(asked: pa.Table, held: pa.Table) -> pa.Table:
+        found: list[tuple] = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        rows = asked.column("row").to_numpy()
+        tids, labels = (pa.concat_arrays([pa.array([], held.schema.field(x).type.value_type),
+                                          *(c.flatten() for c in held.column(x).chunks)]) for x in ("tids", "labels"))
+        if asked.num_rows and held.num_rows:
+            q, home = matrix(pa.concat_arrays(asked.column("v").chunks), dims), asked.column("home").to_numpy()
+            bound = asked.column("bound").to_numpy() ** 2 * (1 + SLACK)
+            best, pivots = np.full((len(q), k), np.inf), sent.value.pivots
+            home_d = pair_distances(q, pivots[home])
+            if exclude_self:
+                code: dict = {}
+                tcode = np.array([code.setdefault(t, len(code)) for t in tids.to_pylist()])
+                qcode = np.array([code.get(x, -1) for x in asked.column("qid").to_pylist()])
+            cell, near, far, n = (held.column(x).to_numpy() for x in ("cell", "near", "far", "n"))
+            start, last = np.cumsum(n) - n, -1
+            for i in np.argsort(cell, kind="stable").tolist():
+                if cell[i] != last:
+                    last, pivot = cell[i], pivots[cell[i]][None, :]
+                    d2, between = distances(q, pivot)[:, 0], np.sqrt(distances(pivots, pivot)[:, 0])[home]
+                    d = np.sqrt(d2)
+                    with np.errstate(divide="ignore", invalid="ignore"):
+                        plane = np.where(between > 0, (d2 - home_d) / (2 * between), -np.inf)
+                reach = np.sqrt(bound) * (1 + SLACK) + SLACK * d
+                some = np.flatnonzero(~((d - reach > far[i]) | (d + reach < near[i]) | (plane > reach)))  # also what overflowed
+                page = np.frombuffer(held.column("vectors")[i].as_buffer(), np.float64).reshape(-1, dims)
+                for s in range(0, len(some), TILE):
+                    at, own = some[s:s + TILE], None
+                    if exclude_self:
+                        mine = tcode[start[i]:start[i] + n[i]]
+                        own = lambda x, y, at=at, mine=mine: qcode[at][x] == mine[y]
+                    qi, pi, dist = near_pairs(q[at], page, bound[at], own, k)
+                    found.append((at[qi], start[i] + pi, dist))
+                    new = np.full((len(at), k), np.inf)
+                    new[qi, np.arange(len(qi)) - np.searchsorted(qi, qi)] = dist
+                    hit = np.unique(qi)
+                    best[at[hit]] = np.sort(np.concatenate([best[at[hit]], new[hit]], axis=1), axis=1)[:, :k]
+                    bound[at[hit]] = np.minimum(bound[at[hit]], best[at[hit], k - 1])
+        qi, at, dist = (np.concatenate(x) for x in zip(*found))
+        if len(qi):
+            inside = dist <= bound[qi]
+            qi, at, dist = qi[inside], at[inside], dist[inside]
+        return pa.table([pa.array(rows[qi], pa.int64()), pa.array(dist), tids.take(pa.array(at)), labels.take(pa.array(at))],
+                        ["row", "dist", "tid", "label"])
+
+    return asked.groupBy("part").cogroup(held.groupBy("part")).applyInArrow(run, f"row long, dist double, tid {tid}, label {label}")
+
+
 def _best(hits: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("row").orderBy("dist", "tid", "label")
     return hits.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= k).drop("_n")
@@ -264,6 +385,8 @@ class MetricIndex:
         train = train.where("tid is not null").where(finite("v"))
         n, dims = train.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
         self.n, self.dims = n, dims or 0
+        # A query may have to leave out its own row.
+        self.need = k + int(exclude_self)
         if not n:
             return
         self.cells = Cells(fit_pivots(train, self.dims, n))
@@ -272,23 +395,29 @@ class MetricIndex:
         for r in self.pages.groupBy("cell").agg(F.sum("n").alias("n"), F.max("far").alias("far")).collect():
             self.cells.rows[r["cell"]], self.cells.radius[r["cell"]] = r["n"], r["far"]
 
-    def rounds(self, queries: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Blocks of the first round with their best hits, and of the second, for :func:`sorted_queries` rows."""
-        kind = queries.schema["qid"].dataType.simpleString()
-        # A query may have to leave out its own row.
-        need = self.k + int(self.exclude_self)
-        first = _routed(queries, self.cells, self.dims, need, kind)
+    def bounded(self, queries: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Best hits of the first round, and the queries with the ``bound`` that these give, for :func:`sorted_queries` rows."""
+        first = _routed(queries, self.cells, self.dims, self.need, queries.schema["qid"].dataType.simpleString())
         near = staged(_best(_hits(self.pages, first, self.dims, self.k, self.exclude_self), self.k), "near")
         bound = near.groupBy("row").agg(F.when(F.count(F.lit(1)) == self.k, F.sqrt(F.max("dist"))).alias("bound"))
-        known = queries.join(bound, "row", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
-        return near, _routed(known, self.cells, self.dims, need, kind)
+        return near, queries.join(bound, "row", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
+
+    def rounds(self, queries: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Best hits of the first round, and blocks of the second, for :func:`sorted_queries` rows."""
+        near, known = self.bounded(queries)
+        return near, _routed(known, self.cells, self.dims, self.need, queries.schema["qid"].dataType.simpleString())
 
     def search(self, query: DataFrame) -> DataFrame:
         """(qid, nn) for every row (qid, v) of ``query``: its k nearest as array<struct<dist, tid, label>>."""
         tid, label = (self.pages.schema[x].dataType.elementType.simpleString() for x in ("tids", "labels"))
         queries = sorted_queries(query.where(finite("v")), self.cells, self.dims)
-        near, second = self.rounds(queries)
-        found = near.unionByName(_hits(self.pages, second, self.dims, self.k, self.exclude_self))
+        near, known = self.bounded(queries)
+        known, asked = staged(known, "known"), queries.count()
+        if open_pairs(known, self.cells, self.dims) <= COPIES * asked:
+            second = _routed(known, self.cells, self.dims, self.need, queries.schema["qid"].dataType.simpleString())
+            found = near.unionByName(_hits(self.pages, second, self.dims, self.k, self.exclude_self))
+        else:  # meets the first round's cells again
+            found = _grid_hits(self.pages, known, self.cells, self.dims, self.k, self.exclude_self, asked)
         nn = _best(found, self.k).groupBy("row").agg(F.array_sort(F.collect_list(F.struct("dist", "tid", "label"))).alias("nn"))
         empty = F.array().cast(f"array<struct<dist: double, tid: {tid}, label: {label}>>")
         out = queries.join(nn, "row", "left").select("qid", F.coalesce("nn", empty).alias("nn"))

@@ -89,3 +89,33 @@ def test_most_distances_are_ruled_out_on_clustered_data(spark):
         compared += met.agg(F.sum(F.col("n") * F.size("qids"))).first()[0] or 0
     assert near.count() == 5 * len(rows)
     assert compared < 0.3 * len(rows) ** 2
+
+
+@pytest.mark.parametrize("exclude_self", [True, False])
+def test_grid_equals_brute_force(spark, monkeypatch, exclude_self):
+    """The second round on the grid, several parts a side; copies, repeated and odd ids, large and equal coordinates."""
+    monkeypatch.setattr(metric_index, "COPIES", 0)
+    monkeypatch.setattr(metric_index, "PART_NUMBERS", 300)
+    monkeypatch.setattr(metric_index, "TILE", 7)
+    r = np.random.default_rng(5)
+    train = [(i, i % 3, np.round(r.normal(0, 1, 3), 1).tolist()) for i in range(500)] + [(i, 1, [0.5, 0.5, 0.5]) for i in range(480, 530)]
+    train += [(None, 1, [0.0] * 3), (901, 1, [None, 1.0, 1.0]), (902, 2, [1e9, 1e9, 1e9]), (903, 2, [1e9, 1e9, 1e9 + 1]), (904, 2, [1e200] * 3)]
+    query = train[:60] + train[470:530] + train[-5:] + [(9000 + i, 0, r.normal(0, 4, 3).tolist()) for i in range(30)]
+    got = search(spark, train, query, 4, exclude_self)
+    with np.errstate(over="ignore"):
+        want = [(q, [x for x in nn if np.isfinite(x[0])]) for q, nn in brute(train, query, 4, exclude_self)]
+    assert got == want
+
+
+def test_rows_travel_a_fixed_number_of_times(spark):
+    """Without clusters the bounds rule nothing out; a query then goes to the parts of the grid, not to all cells."""
+    sent = []
+    for n in (1000, 4000):
+        v = np.random.default_rng(6).normal(0, 1, (n, 24))
+        index = MetricIndex(spark.createDataFrame([(i, 0, x.tolist()) for i, x in enumerate(v)], "tid long, label int, v array<double>"), 4, True)
+        queries = sorted_queries(spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "qid long, v array<double>"), index.cells, index.dims)
+        _, known = index.bounded(queries)
+        assert metric_index.open_pairs(known, index.cells, index.dims) > metric_index.COPIES * n
+        hits = metric_index._grid_hits(index.pages, known, index.cells, index.dims, 4, True, n)
+        sent.append(hits.count() / n)
+    assert max(sent) <= 4 * metric_index.SIDES
