@@ -328,9 +328,9 @@ def _grid_hits(pages: DataFrame, known: DataFrame, cells: Cells, dims: int, k: i
         found: list[tuple] = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
         rows = asked.column("row").to_numpy()
         tids, labels = (pa.concat_arrays([pa.array([], held.schema.field(x).type.value_type),
-                                          *(c.flatten() for c in held.column(x).chunks)]) for x in ("tids", "labels"))
+                                          *(c.flatten() for c in held.column(x).chunks if len(c))]) for x in ("tids", "labels"))
         if asked.num_rows and held.num_rows:
-            q, home = matrix(pa.concat_arrays(asked.column("v").chunks), dims), asked.column("home").to_numpy()
+            q, home = matrix(pa.concat_arrays([c for c in asked.column("v").chunks if len(c)]), dims), asked.column("home").to_numpy()
             bound = asked.column("bound").to_numpy() ** 2 * (1 + SLACK)
             best, pivots = np.full((len(q), k), np.inf), sent.value.pivots
             home_d = pair_distances(q, pivots[home])

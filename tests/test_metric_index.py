@@ -119,3 +119,9 @@ def test_rows_travel_a_fixed_number_of_times(spark):
         hits = metric_index._grid_hits(index.pages, known, index.cells, index.dims, 4, True, n)
         sent.append(hits.count() / n)
     assert max(sent) <= 4 * metric_index.SIDES
+
+
+def test_few_rows_leave_parts_of_the_grid_empty(spark, monkeypatch):
+    monkeypatch.setattr(metric_index, "COPIES", 0)
+    rows = [(1, 0, [0.0, 1.0]), (2, 1, [5.0, 1.0]), (3, None, [0.0, 1.5])]
+    assert search(spark, rows, rows, 1, True) == [(1, [(0.25, 3, None)]), (2, [(25.0, 1, 0)]), (3, [(0.25, 1, 0)])]
