@@ -12,7 +12,7 @@ from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRe
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.operators.models.base import SparkModel, fit_pipeline, tree_rows
+from kiln.operators.models.base import FOREST_VISITS, SparkModel, fit_forest_parts, fit_pipeline, tree_rows
 
 MAX_DEPTH = 30  # MLlib's limit; stands for "grow until pure"
 
@@ -30,14 +30,19 @@ def random_forest_classifier(df: DataFrame, features: Sequence[str], label: str,
                              max_features: int | str = 2, max_depth: int | None = None, seed: int = 1,
                              min_instances: int = 1) -> SparkModel:
     """M2: bootstrap forest; ``max_features`` features tried per split."""
-    est = RandomForestClassifier(labelCol=label, numTrees=n_trees, featureSubsetStrategy=str(max_features),
-                                 maxDepth=max_depth or MAX_DEPTH, seed=seed, minInstancesPerNode=min_instances)
-    return fit_pipeline(tree_rows(df, n_trees), features, label, est, binary=True)
+    def fit(trees: int, seed: int) -> SparkModel:
+        est = RandomForestClassifier(labelCol=label, numTrees=trees, featureSubsetStrategy=str(max_features),
+                                     maxDepth=max_depth or MAX_DEPTH, seed=seed, minInstancesPerNode=min_instances)
+        return fit_pipeline(data, features, label, est, binary=True)
 
+    rows = df.count()
+    data, most = tree_rows(df, n_trees, rows), max(1, FOREST_VISITS // max(rows, 1))
+    return fit(n_trees, seed) if n_trees <= most else fit_forest_parts(df.sparkSession, fit, n_trees, most, seed)
 
-def feature_importance(model: SparkModel, spark) -> DataFrame:
+
+def feature_importance(model, spark) -> DataFrame:
     """M3: (feature, importance) sorted by importance, descending."""
-    imp = model.model.stages[-1].featureImportances.toArray().tolist()
+    imp = model.importances()
     t = spark.createDataFrame(list(zip(model.features, [float(v) for v in imp])), "feature string, importance double")
     return t.orderBy(F.desc("importance"), "feature")
 

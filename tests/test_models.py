@@ -171,3 +171,28 @@ def test_submission_reads_the_texts_once(spark, tmp_path):
     assert done.count() == 20
     plan = done._jdf.queryExecution().executedPlan().toString()
     assert "InMemoryTableScan" in plan
+
+
+def test_forest_in_parts_adds_up_the_votes_of_all_trees(spark, monkeypatch):
+    from pyspark.ml import PipelineModel
+    from kiln.operators.models import mllib
+    r = np.random.default_rng(9)
+    x = r.normal(0, 1, (400, 2))
+    data = [(i, float(a), float(b), int(a + 0.3 * b + r.normal(0, 0.2) > 0)) for i, (a, b) in enumerate(x)]
+    df = spark.createDataFrame(data, "id long, a double, b double, y int").cache()
+    whole = mllib.random_forest_classifier(df, ["a", "b"], "y", n_trees=10)
+    monkeypatch.setattr(mllib, "FOREST_VISITS", 1700)
+    parts = mllib.random_forest_classifier(df, ["a", "b"], "y", n_trees=10)
+    assert parts.trees == [4, 4, 2] and [len(PipelineModel.load(p).stages[-1].trees) for p in parts.paths] == parts.trees
+    got = {q["id"]: (q["prediction"], q["p1"]) for q in parts.transform(df).collect()}
+    votes = np.zeros((400, 2))
+    for p in parts.paths:
+        for q in PipelineModel.load(p).transform(df).select("id", "rawPrediction").collect():
+            votes[q["id"]] += q["rawPrediction"].toArray()
+    assert np.allclose(votes.sum(1), 10)
+    assert all(got[i] == (float(v.argmax()), pytest.approx(v[1] / 10)) for i, v in enumerate(votes))
+    assert parts.transform(df).columns == whole.transform(df).columns
+    rows = mllib.feature_importance(parts, spark).collect()
+    assert rows[0]["feature"] == "a" and sum(q["importance"] for q in rows) == pytest.approx(1)
+    assert mllib.feature_importance(whole, spark).first()["feature"] == "a"
+    df.unpersist()
